@@ -1,0 +1 @@
+"""Intentionally empty: every job here is a scheduled full rebuild, so there is no stream, window or state to keep."""
