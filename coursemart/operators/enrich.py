@@ -15,7 +15,6 @@ How it scales
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,14 +23,19 @@ SLOT = "_slot"
 NULL_KEY_SLOTS = 4096
 
 
-def any_null(columns: Iterable[str]) -> Column:
-    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
-def null_key_slot(keys: Sequence[str], spread_by: Sequence[str]) -> Column:
-    """0 for rows with a complete key; a number derived from ``spread_by`` for rows that cannot match."""
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SLOTS)) if spread_by else F.lit(0)
-    return F.when(any_null(keys), spread).otherwise(F.lit(0)).cast("long")
+def any_null(columns: Iterable[str]) -> str:
+    """SQL text: is one of the columns NULL?"""
+    return "(" + " OR ".join(f"{quoted(c)} IS NULL" for c in columns) + ")"
+
+
+def ordered_struct(columns: Sequence[str]) -> str:
+    """SQL text of a struct that sorts by the columns in turn, NULLs last; column i is its field ``v<i>``."""
+    fields = (f"{quoted(c)} IS NULL AS n{i}, {quoted(c)} AS v{i}" for i, c in enumerate(columns))
+    return f"struct({', '.join(fields)})"
 
 
 def winner_per_key(
@@ -42,20 +46,15 @@ def winner_per_key(
     Rows with a NULL in the key are left out, since they match nothing. ``slot`` adds the constant column that lets
     the result be joined with skew handling.
     """
-    ranked = [*order_by, *(v for v in dict.fromkeys(values) if v not in order_by and v not in keys)]
-    fields = [
-        part
-        for i, c in enumerate(ranked)
-        for part in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))
-    ]
-    position = {c: i for i, c in enumerate(ranked)}
-    aggregates = [F.min(F.struct(*fields) if fields else F.lit(True)).alias("_best")]
-    if slot:
-        aggregates.append(F.min(F.lit(0).cast("long")).alias(SLOT))
-    best = lookup.where(~any_null(keys)).groupBy(*keys).agg(*aggregates)
-    return best.select(
-        *keys,
-        *(F.col(f"_best.v{position[v]}").alias(v) for v in dict.fromkeys(values) if v not in keys),
+    outputs = [v for v in dict.fromkeys(values) if v not in keys]
+    ranked = [*order_by, *(v for v in outputs if v not in order_by)]
+    aggregates = [F.expr(f"min({ordered_struct(ranked)}) AS _best")] if ranked else []
+    if slot or not ranked:
+        aggregates.append(F.expr(f"min(0L) AS {SLOT}"))
+    best = lookup.where(f"NOT {any_null(keys)}").groupBy(*keys).agg(*aggregates)
+    return best.selectExpr(
+        *map(quoted, keys),
+        *(f"_best.v{ranked.index(v)} AS {quoted(v)}" for v in outputs),
         *([SLOT] if slot else []),
     )
 
@@ -63,17 +62,15 @@ def winner_per_key(
 def join_winners(
     df: DataFrame, winners: DataFrame, on: Mapping[str, str], how: str, spread_by: Sequence[str]
 ) -> DataFrame:
-    """Join a grouped one-row-per-key table (with its ``_slot``) so that AQE can split hot keys of ``df``."""
-    left_keys = list(on)
-    lookup_name = {key: f"_k{i}" for i, key in enumerate(on.values())}
-    right = winners.withColumnsRenamed({**lookup_name, SLOT: "_right_slot"})
-    left = df.withColumn(SLOT, null_key_slot(left_keys, spread_by))
-    condition = reduce(
-        Column.__and__,
-        [F.col(mine) == F.col(lookup_name[theirs]) for mine, theirs in on.items()],
-        F.col(SLOT) == F.col("_right_slot"),
-    )
-    return left.join(right, condition, how)
+    """Join a grouped one-row-per-key table (with its ``_slot``) so that AQE can split hot keys of ``df``.
+
+    The columns of ``winners`` must have names that ``df`` does not have. ``_slot`` of a left row is 0 when its key is
+    complete, else a number derived from ``spread_by``.
+    """
+    spread = f"pmod(xxhash64({', '.join(map(quoted, spread_by))}), {NULL_KEY_SLOTS}L)" if spread_by else "0L"
+    left = df.withColumn("_left_slot", F.expr(f"CASE WHEN {any_null(on)} THEN {spread} ELSE 0L END"))
+    keys = [f"{quoted(mine)} = {quoted(theirs)}" for mine, theirs in on.items()]
+    return left.join(winners, F.expr(" AND ".join([*keys, f"_left_slot = {SLOT}"])), how)
 
 
 def enrich_left(
@@ -95,34 +92,23 @@ def enrich_left(
     """
     if unmatched not in ("null", "keep"):
         raise ValueError(f"unmatched must be 'null' or 'keep', not {unmatched!r}")
-    keys = list(on.values())
+    present = df.columns
     candidates = lookup if condition is None else lookup.where(condition)
-    # Every value moves to a name of its own, so lookup and table may share column names.
-    candidates = candidates.select(
-        *(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)),
-        *(F.col(source).alias(f"_new{i}") for i, source in enumerate(columns.values())),
-        *(F.col(c).alias(f"_order{i}") for i, c in enumerate(order_by)),
-    )
-    key_names = [f"_key{i}" for i in range(len(keys))]
-    winners = winner_per_key(
-        candidates,
-        key_names,
-        [f"_new{i}" for i in range(len(columns))],
-        [f"_order{i}" for i in range(len(order_by))],
-        slot=True,
-    )
-    joined = join_winners(
-        df, winners, dict(zip(on, key_names)), "left", df.columns if spread_by is None else spread_by
-    )
-    matched = F.col("_right_slot").isNotNull()
-    filled = {}
-    for i, target in enumerate(columns):
-        new = F.col(f"_new{i}")
-        if unmatched == "keep" and target in df.columns:
-            new = F.when(matched, new).otherwise(F.col(target))
-        filled[target] = new.alias(target)
-    return joined.select(
-        *(filled.pop(c) if c in filled else F.col(c) for c in df.columns), *filled.values()
+    keys = [f"_key{i}" for i in range(len(on))]
+    values = [f"_new{i}" for i in range(len(columns))]
+    order = [f"_order{i}" for i in range(len(order_by))]
+    # Every lookup column moves to a name of its own, so lookup and table may share column names.
+    sources = [*on.values(), *columns.values(), *order_by]
+    renamed = [f"{quoted(source)} AS {name}" for source, name in zip(sources, [*keys, *values, *order])]
+    winners = winner_per_key(candidates.selectExpr(*renamed), keys, values, order, slot=True)
+    joined = join_winners(df, winners, dict(zip(on, keys)), "left", present if spread_by is None else spread_by)
+    filled = {target: value for target, value in zip(columns, values)}
+    if unmatched == "keep":
+        for target in filled.keys() & set(present):
+            filled[target] = f"CASE WHEN {SLOT} IS NOT NULL THEN {filled[target]} ELSE {quoted(target)} END"
+    return joined.selectExpr(
+        *(f"{filled.pop(c)} AS {quoted(c)}" if c in filled else quoted(c) for c in present),
+        *(f"{value} AS {quoted(target)}" for target, value in filled.items()),
     )
 
 
@@ -134,7 +120,7 @@ def join_distinct(
     rows = (
         lookup.where(F.col(on).isNotNull())
         .groupBy(F.col(on).alias("_key"), *others)
-        .agg(F.min(F.lit(0).cast("long")).alias(SLOT))
+        .agg(F.expr(f"min(0L) AS {SLOT}"))
     )
     joined = join_winners(df, rows, {on: "_key"}, how, df.columns if spread_by is None else spread_by)
     return joined.select(*df.columns, *others)

@@ -4,23 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursemart.operators.enrich import any_null
+from coursemart.operators.enrich import any_null, ordered_struct, quoted
 from coursemart.session import materialise
 
 
-def _struct_with_nulls_last(columns: Sequence[str]) -> Column:
-    return F.struct(
-        *(
-            part
-            for i, c in enumerate(columns)
-            for part in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))
-        )
-    )
-
-
 def dedupe_on_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Keep one whole row per key: the first by ``order_by``, then by all other columns, NULLs last.
 
@@ -30,9 +20,9 @@ def dedupe_on_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     ranked = [*order_by, *rest]
     if not ranked:
         return df.distinct()
-    best = df.groupBy(*keys).agg(F.min(_struct_with_nulls_last(ranked)).alias("_best"))
-    return best.select(
-        *(F.col(c) if c in keys else F.col(f"_best.v{ranked.index(c)}").alias(c) for c in df.columns)
+    best = df.groupBy(*keys).agg(F.expr(f"min({ordered_struct(ranked)}) AS _best"))
+    return best.selectExpr(
+        *(quoted(c) if c in keys else f"_best.v{ranked.index(c)} AS {quoted(c)}" for c in df.columns)
     )
 
 
@@ -52,7 +42,7 @@ def keep_min_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
     their value, and the rows kept for a NULL in the key likewise.
     """
     minima = (
-        df.where(~any_null([*keys, value]))
+        df.where(f"NOT {any_null([*keys, value])}")
         .groupBy(*(F.col(k).alias(f"_min_{k}") for k in keys))
         .agg(F.min(value).alias("_min"))
         .withColumn("_is_min", F.lit(True))
@@ -61,7 +51,7 @@ def keep_min_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_min_{k}"))
     joined = df.join(minima, condition, "left")
-    return joined.where(F.col("_is_min").isNotNull() | any_null([*keys, value])).select(*df.columns)
+    return joined.where(f"_is_min IS NOT NULL OR {any_null([*keys, value])}").select(*df.columns)
 
 
 def dense_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq_num", start: int = 1) -> DataFrame:

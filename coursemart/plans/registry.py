@@ -7,8 +7,8 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from coursemart.operators.enrich import quoted
 from coursemart.sources.raw import LmsSource
 
 # Terms that hold tests and migrated content, by id and by name.
@@ -57,15 +57,14 @@ def conform(df: DataFrame, columns: tuple[tuple[str, str], ...]) -> DataFrame:
     """Declared columns only, in order and typed; missing ones become NULL, longer text is cut to the declared length."""
     present = set(df.columns)
 
-    def column(name: str, declared: str):
+    def column(name: str, declared: str) -> str:
         base, length = re.fullmatch(r"(\w+)(?:\((\d+)\))?", declared).groups()
-        value = F.col(name) if name in present else F.lit(None)
-        value = value.cast(SPARK_TYPES[base])
+        value = f"CAST({quoted(name) if name in present else 'NULL'} AS {SPARK_TYPES[base]})"
         if length and name in present:
-            value = F.left(value, F.lit(int(length)))
-        return value.alias(name)
+            value = f"left({value}, {length})"
+        return f"{value} AS {quoted(name)}"
 
-    return df.select(*(column(name, declared) for name, declared in columns))
+    return df.selectExpr(*(column(name, declared) for name, declared in columns))
 
 
 def auxiliary_table(name: str, columns: str, in_build: bool = True):

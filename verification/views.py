@@ -155,8 +155,16 @@ EXCLUDED_TERMS = (19953, 20002)
 EXCLUDED_NAMES = ("Default Term",)
 
 
+_opened: dict[tuple[str, str, str], DataFrame] = {}
+_sources: dict[tuple[str, str], LmsSource] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its files are listed and their schema read once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _opened[key]
 
 
 def _mentioned(sql: str, names) -> list[str]:
@@ -166,6 +174,9 @@ def _mentioned(sql: str, names) -> list[str]:
 
 def lms_source(spark: SparkSession, sf_dir: str) -> LmsSource:
     """The raw tables as Spark DataFrames, each made when it is first asked for."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _sources:
+        return _sources[key]
     counts: dict[str, int] = {}
 
     def rows(name: str) -> int:
@@ -184,12 +195,12 @@ def lms_source(spark: SparkSession, sf_dir: str) -> LmsSource:
             for used in inputs:
                 sql = re.sub(rf"(?<=FROM ){used}\b", f"{{{used}}}", sql)
             frame = spark.sql(sql, **{used: table(spark, sf_dir, used) for used in inputs})
-            schema = raw_schema(name)
-            return frame.select(*(frame[f.name].cast(f.dataType).alias(f.name) for f in schema))
+            return frame.selectExpr(*(f"CAST({f.name} AS {f.dataType.simpleString()}) {f.name}" for f in raw_schema(name)))
 
         return make
 
-    return LmsSource({name: view(name) for name in VIEWS})
+    _sources[key] = LmsSource({name: view(name) for name in VIEWS})
+    return _sources[key]
 
 
 def mart(spark: SparkSession, sf_dir: str, **settings) -> Mart:
