@@ -65,7 +65,7 @@ def export(
     rows = sanitize_strings(df) if sanitize else df
     if dialect == "tsv":
         rows = escape_tsv(rows)
-        options = {"sep": "\t", "header": True, "quote": "", "escapeQuotes": False}
+        options = {"sep": "\t", "header": True, "quote": "", "escapeQuotes": False, "emptyValue": ""}
     elif dialect == "csv_quoted":
         options = {"sep": ",", "header": True, "quoteAll": True, "escape": '"', "nullValue": "NULL"}
     elif dialect == "excerpt":
@@ -73,7 +73,6 @@ def export(
     else:
         raise ValueError(f"unknown dialect {dialect!r}")
     writer = rows.write.mode("overwrite").options(
-        emptyValue="",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
         timestampNTZFormat="yyyy-MM-dd HH:mm:ss",

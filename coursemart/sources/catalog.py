@@ -14,20 +14,23 @@ CATALOG_COLUMNS = (
     "quarter_name string, instructors string"
 )
 
+_INSTRUCTOR = "array<struct<firstName: string, middleName: string, lastName: string>>"
+_SCHEDULE = f"array<struct<instructors: struct<instructor: {_INSTRUCTOR}>>>"
+_SECTION = f"array<struct<schedules: struct<schedule: {_SCHEDULE}>>>"
+
 # The elements of a <course> record that are read.
-CATALOG_XML_SCHEMA = """
-    year string, subject string, code string, title string, unitsMin string, unitsMax string, gers string,
-    administrativeInformation struct<
-        courseId: string, academicGroup: string, academicOrganization: string, academicCareer: string>,
-    attributes struct<attribute: array<struct<name: string, description: string>>>,
-    sections struct<section: array<struct<schedules: struct<schedule: array<struct<instructors: struct<
-        instructor: array<struct<firstName: string, middleName: string, lastName: string>>>>>>>>
-"""
+CATALOG_XML_SCHEMA = (
+    "year string, subject string, code string, title string, unitsMin string, unitsMax string, gers string, "
+    "administrativeInformation struct<courseId: string, academicGroup: string, academicOrganization: string, "
+    "academicCareer: string>, "
+    "attributes struct<attribute: array<struct<name: string, description: string>>>, "
+    f"sections struct<section: {_SECTION}>"
+)
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog rows from comma-separated files with a header line and optional quotes."""
-    return (
+    """Catalog rows from comma-separated files with a header line and optional quotes. Empty text is no NULL here."""
+    rows = (
         spark.read.schema(CATALOG_COLUMNS)
         .option("header", True)
         .option("enforceSchema", True)
@@ -35,20 +38,25 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("escape", '"')
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
-        .option("emptyValue", "")
         .csv(path)
     )
+    return rows.na.fill("")
 
 
 def read_catalog_xml(spark: SparkSession, path: str) -> DataFrame:
-    """One row per <course> element with its nested fields. Large files are split between tasks."""
-    return spark.read.format("xml").option("rowTag", "course").schema(CATALOG_XML_SCHEMA).load(path)
+    """One row per <course> element, with its nested fields.
+
+    The text source cuts the files at the closing tag, so a single large file is read by many tasks.
+    """
+    pieces = spark.read.option("lineSep", "</course>").text(path)
+    elements = pieces.select(F.regexp_extract("value", r"(?s)<course[\s>].*", 0).alias("_open")).where("_open <> ''")
+    return parse_catalog_text(elements.select(F.concat("_open", F.lit("</course>")).alias("_xml")), "_xml")
 
 
 def parse_catalog_text(df: DataFrame, xml: str) -> DataFrame:
-    """The same nested fields from a column holding one <course> element per row."""
-    one_line = " ".join(CATALOG_XML_SCHEMA.split())
-    return df.select(F.from_xml(F.col(xml), one_line, {"rowTag": "course"}).alias("_c")).select("_c.*")
+    """The same nested fields from a column holding one <course> element per row. Broken XML is an error."""
+    options = {"rowTag": "course", "mode": "FAILFAST"}
+    return df.select(F.from_xml(xml, CATALOG_XML_SCHEMA, options).alias("_c")).select("_c.*")
 
 
 def catalog_rows(nested: DataFrame) -> DataFrame:
