@@ -1,7 +1,7 @@
 from coursemart.jobs.history import append_load_log, load_log_entry, load_log_history, load_log_latest
 from coursemart.jobs.quality import log_errors, shrunken, stale, volumes
 from coursemart.jobs.snapshots import asof, latest, prune, read_snapshots, restore, retain, snapshot
-from coursemart.jobs.text import ENGLISH_STOPWORDS, split_attribute_prefix, treebank_tokens, word_frequency, word_tokens
+from coursemart.jobs.text import ENGLISH_STOPWORDS, split_attribute_prefix, treebank_tokens, word_frequency
 
 __all__ = [
     "ENGLISH_STOPWORDS",
@@ -23,5 +23,4 @@ __all__ = [
     "treebank_tokens",
     "volumes",
     "word_frequency",
-    "word_tokens",
 ]

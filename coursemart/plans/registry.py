@@ -91,6 +91,7 @@ class Mart:
     source: LmsSource
     settings: Settings = field(default_factory=Settings)
     built: Mapping[str, DataFrame] = field(default_factory=dict)
+    _composed: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def raw(self, name: str) -> DataFrame:
         return self.source[name]
@@ -98,5 +99,7 @@ class Mart:
     def aux(self, name: str) -> DataFrame:
         if name in self.built:
             return self.built[name]
-        spec = TABLES[name]
-        return conform(spec.builder(self), spec.columns)
+        if name not in self._composed:
+            spec = TABLES[name]
+            self._composed[name] = conform(spec.builder(self), spec.columns)
+        return self._composed[name]

@@ -21,7 +21,6 @@ from coursemart.jobs import (
     split_attribute_prefix,
     stale,
     word_frequency,
-    word_tokens,
 )
 from coursemart.jobs.text import STOPWORDS, TREEBANK_RULES
 from coursemart.session import scratch_path
@@ -70,7 +69,7 @@ def text_word_frequency(spark: SparkSession, sf: str) -> DataFrame:
     _frequencies("SELECT text, lang FROM documents", "lang", r"regexp_extract_all(text, '[\p{L}\p{N}_'']+')"),
 )
 def word_frequency_check(spark: SparkSession, sf: str) -> DataFrame:
-    return word_frequency(table(spark, sf, "documents"), "text", "lang", tokens=word_tokens)
+    return word_frequency(table(spark, sf, "documents"), "text", "lang", tokenizer="words")
 
 
 @check(
@@ -78,7 +77,7 @@ def word_frequency_check(spark: SparkSession, sf: str) -> DataFrame:
     _frequencies("SELECT text FROM conversations", "'all'", r"regexp_extract_all(text, '[\p{L}\p{N}_'']+')"),
 )
 def word_frequency_all(spark: SparkSession, sf: str) -> DataFrame:
-    return word_frequency(table(spark, sf, "conversations"), "text", tokens=word_tokens)
+    return word_frequency(table(spark, sf, "conversations"), "text", tokenizer="words")
 
 
 @check(
