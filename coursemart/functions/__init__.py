@@ -6,6 +6,7 @@ from coursemart.functions.names import (
     qualified_table_name,
     term_year,
 )
+from coursemart.functions.sql import register_sql_functions
 from coursemart.functions.text import (
     cap_list,
     collated,
@@ -36,6 +37,7 @@ __all__ = [
     "quarter_lower_date",
     "quarter_names",
     "quarter_upper_date",
+    "register_sql_functions",
     "replace_spaces",
     "same_text",
     "sanitize_text",

@@ -29,7 +29,7 @@ def shrunken(sizes: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFram
 def stale(times: DataFrame, hours: float = 24) -> DataFrame:
     """Of (tbl_name, ts): the tables more than ``hours`` older than the newest, with their last time."""
     last = times.groupBy("tbl_name").agg(F.max("ts").alias("ts"))
-    newest = times.agg(F.max("ts"))
+    newest = last.agg(F.max("ts"))
     age = F.timestamp_diff("MICROSECOND", F.col("ts"), newest.scalar())
     return last.where(age > int(hours * 3_600_000_000))
 

@@ -7,6 +7,7 @@ from coursemart.operators.rows import (
     common_keys,
     delete_matching,
     delete_where,
+    left_join_large,
     missing_keys,
     restrict_to_keys,
     union_sources,
@@ -27,6 +28,7 @@ __all__ = [
     "join_distinct",
     "keep_min_per_key",
     "latest_per_key",
+    "left_join_large",
     "missing_keys",
     "newest_n",
     "restrict_to_keys",

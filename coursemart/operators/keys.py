@@ -75,7 +75,8 @@ def dense_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq_num"
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return placed.join(offsets, "_part").select(
+    # One row per range partition, so never more than spark.sql.shuffle.partitions: small enough to broadcast at any scale.
+    return placed.join(F.broadcast(offsets), "_part").select(
         (F.col("_before") + F.col("_pos") + F.lit(start)).cast("long").alias(name), *df.columns
     )
 

@@ -24,6 +24,17 @@ def _filter_join(
     return joined.select(*df.columns)
 
 
+def left_join_large(df: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left outer join for a right side that is the large one or may have hot keys.
+
+    Spark can split a hot key of the right side, or stream that side past a broadcast left one, in an inner join only. So
+    the matches come from an inner join and the left rows without a match are appended.
+    """
+    matched = df.join(right, list(on))
+    alone = _filter_join(df, right, {k: k for k in on}, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     """``DELETE ... WHERE predicate``: rows stay where the predicate is false or NULL."""
     return df.where(~F.coalesce(predicate, F.lit(False)))

@@ -1,7 +1,7 @@
-from coursemart.plans.registry import TABLES, Mart, Settings, auxiliary_table
+from coursemart.plans.registry import TABLES, Mart, Settings, auxiliary_table, sql_table
 
 # Importing the builder modules registers their tables, each after the tables it reads.
 from coursemart.plans import people, courses, assignments, discussions, modules, requirements  # noqa: E402,F401,I001
 from coursemart.plans.build_job import BuildReport, build
 
-__all__ = ["TABLES", "BuildReport", "Mart", "Settings", "auxiliary_table", "build"]
+__all__ = ["TABLES", "BuildReport", "Mart", "Settings", "auxiliary_table", "build", "sql_table"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursemart.functions.text import same_text
-from coursemart.operators import conditional_counts, enrich_left
+from coursemart.operators import conditional_counts, enrich_left, left_join_large
 from coursemart.plans.registry import Mart, auxiliary_table
 
 
@@ -47,28 +47,31 @@ def modules(mart: Mart) -> DataFrame:
 )
 def module_items(mart: Mart) -> DataFrame:
     requirements = mart.raw("module_progression_completion_requirement_dim").select(
-        "module_item_id", "requirement_type", "completion_status"
+        F.col("module_item_id").alias("id"), "requirement_type", "completion_status"
     )
-    items = (
+    active = (
         mart.raw("module_item_dim")
         .where(same_text("workflow_state", "active"))
         .select("id", "title", "course_id", "module_id", "content_type")
-        .join(requirements, F.col("id") == F.col("module_item_id"), "left")
     )
+    # Every learner has a row per requirement of an item, so the requirements are by far the larger side.
+    items = left_join_large(active, requirements, ["id"])
     # A progression counts once per fact row it has, and once if it has none.
     fact_rows = (
         mart.raw("module_progression_fact")
         .groupBy(F.col("module_progression_id").alias("_progression"))
         .agg(F.count("*").alias("_rows"))
     )
-    progressions = (
+    progressions = enrich_left(
         mart.raw("module_progression_dim")
         .where(same_text("workflow_state", "started") | same_text("workflow_state", "completed"))
-        .join(fact_rows, F.col("id") == F.col("_progression"), "left")
-        .select("module_id", "workflow_state", F.coalesce("_rows", F.lit(1)).alias("_weight"))
+        .select("id", "module_id", "workflow_state"),
+        fact_rows,
+        {"id": "_progression"},
+        {"_rows": "_rows"},
     )
     progress = conditional_counts(
-        progressions,
+        progressions.withColumn("_weight", F.coalesce("_rows", F.lit(1))),
         "module_id",
         {
             "num_started": same_text("workflow_state", "started"),

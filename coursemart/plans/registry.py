@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from string import Formatter
 
 from pyspark.sql import DataFrame
 
@@ -81,6 +82,18 @@ def auxiliary_table(name: str, columns: str, in_build: bool = True):
     return register
 
 
+def sql_table(name: str, columns: str, query: str):
+    """Register a table given as SQL. ``{name}`` in the query stands for a raw or an auxiliary table."""
+    inputs = {field for _, field, _, _ in Formatter().parse(query) if field}
+
+    def builder(mart: Mart) -> DataFrame:
+        frames = {used: mart.aux(used) if used in TABLES else mart.raw(used) for used in inputs}
+        spark = next(iter(frames.values())).sparkSession
+        return spark.sql(query, **frames)
+
+    return auxiliary_table(name, columns)(builder)
+
+
 @dataclass
 class Mart:
     """What builders see: ``raw`` tables, other ``aux`` tables and the settings.

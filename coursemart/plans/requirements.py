@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursemart.functions.text import replace_spaces
-from coursemart.operators import keep_min_per_key
+from coursemart.operators import keep_min_per_key, left_join_large
 from coursemart.plans.registry import Mart, auxiliary_table
 from coursemart.sources.catalog import catalog_rows
 
@@ -54,7 +54,7 @@ def student_units(mart: Mart) -> DataFrame:
         "account_id", "enrollment_term_id", "quarter_name_canvas", "quarter_name_peoplesoft", "course_id",
         "course_name", "instructors", "units_max", "enrollment",
     )
-    return mart.aux("Accounts").join(taught, "account_id", "left")
+    return left_join_large(mart.aux("Accounts"), taught, ["account_id"])
 
 
 def requirement_flags(comma_list: str) -> list[Column]:

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, TimestampNTZType
 from coursemart.functions.names import term_year
 from coursemart.functions.text import sanitize_text
 from coursemart.operators.batches import SHARED, volume_batches
+from coursemart.operators.enrich import enrich_left
 from coursemart.operators.rows import restrict_to_keys
 
 ACCOUNT_BATCH_ROWS = 1000
@@ -85,14 +86,8 @@ def export(
 
 def with_account_batch(df: DataFrame, key: str = "account_id", threshold: int = ACCOUNT_BATCH_ROWS) -> DataFrame:
     """Add ``batch``: the key itself for keys with many rows, one shared batch for all others (and for NULL keys)."""
-    own = (
-        volume_batches(df, key, threshold)
-        .where(F.col("batch") != SHARED)
-        .select(F.col(key).alias("_own_key"), F.col("batch"))
-    )
-    return df.join(own, F.col(key) == F.col("_own_key"), "left").select(
-        *df.columns, F.coalesce(F.col("batch"), F.lit(SHARED)).alias("batch")
-    )
+    own = volume_batches(df, key, threshold).where(F.col("batch") != SHARED)
+    return enrich_left(df, own, {key: key}, {"batch": "batch"}).fillna(SHARED, ["batch"])
 
 
 def with_seq_batch(df: DataFrame, seq: str = "seq_num", size: int = SEQ_BATCH_ROWS) -> DataFrame:

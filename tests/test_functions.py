@@ -15,6 +15,7 @@ from coursemart.functions import (
     qualified_table_name,
     quarter_lower_date,
     quarter_upper_date,
+    register_sql_functions,
     same_text,
     sanitize_text,
     term_year,
@@ -153,3 +154,29 @@ def test_join_names_skips_nulls_and_copies(spark):
 
 def test_sanitize_text(spark):
     assert value(spark, sanitize_text(F.lit("a\tb\nc"))) == "a        b c"
+
+
+def test_sql_functions_agree_with_the_column_functions(spark):
+    register_sql_functions(spark)
+    days = spark.sql(
+        """SELECT CAST(timestampadd(DAY, id, TIMESTAMP '2013-01-01') AS TIMESTAMP_NTZ) AS day,
+                  element_at(array('fall', 'Winter', 'spring', 'SUMMER', 'x'), CAST(id % 5 + 1 AS INT)) AS quarter,
+                  element_at(array('2012', '2013', '%', '2014', 'y'), CAST(id % 7 % 5 + 1 AS INT)) AS year
+             FROM range(1200)
+           UNION ALL SELECT NULL, 'winter', '%' UNION ALL SELECT NULL, 'winter', '2013'"""
+    )
+    pairs = days.select(
+        F.expr("dateInQuarter(day, quarter, year)").alias("a"),
+        date_in_quarter("day", F.col("quarter"), F.col("year")).alias("b"),
+        F.expr("makeUpperQuarterDate(quarter, TRY_CAST(year AS INT))").alias("c"),
+        quarter_upper_date(F.col("quarter"), F.col("year")).alias("d"),
+        F.expr("makeLowQuarterDate(quarter, TRY_CAST(year AS INT))").alias("e"),
+        quarter_lower_date(F.col("quarter"), F.col("year")).alias("f"),
+    )
+    assert pairs.where("NOT (a <=> b AND c <=> d AND e <=> f)").count() == 0
+    assert pairs.where("a").count() > 50
+    row = spark.sql(
+        "SELECT wordcount('one two a') w, DATABASE_NAME('x.y.z') d, DATABASE_NAME('y') c, TABLE_BASENAME('x.y.z') t, TABLE_BASENAME('y') b"
+    ).first()
+    assert tuple(row) == (2, "x", "default", "y.z", "y")
+    assert spark.sql("SELECT sum(wordcount(s)) FROM VALUES ('a b c'), ('one two'), (NULL) AS t(s)").first()[0] == 4

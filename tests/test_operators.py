@@ -19,6 +19,7 @@ from coursemart.operators import (
     join_distinct,
     keep_min_per_key,
     latest_per_key,
+    left_join_large,
     missing_keys,
     newest_n,
     restrict_to_keys,
@@ -168,6 +169,12 @@ def test_anti_join_append_fills_the_rest_with_null(spark):
     assert rows(result) == [(1, 10, 7), (2, None, 8), (None, None, 9)]
 
 
+def test_left_join_large_keeps_unmatched_rows(spark):
+    left = frame(spark, "k int, a int", (1, 1), (2, 2), (None, 3), (1, 4))
+    right = frame(spark, "k int, b int", (1, 10), (1, 11), (3, 12), (None, 13))
+    assert rows(left_join_large(left, right, ["k"])) == rows(left.join(right, "k", "left"))
+
+
 def test_key_comparisons(spark):
     expected = frame(spark, "t string", ("Terms",), ("Modules",), ("Modules",))
     present = frame(spark, "t string", ("Terms",), ("Table1",), ("Terms",))

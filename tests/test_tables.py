@@ -3,7 +3,7 @@ from datetime import datetime
 from lms import BIG, mart, records
 from pyspark.sql import functions as F
 
-from coursemart.plans import TABLES
+from coursemart.plans import TABLES, sql_table
 from coursemart.plans.courses import courses
 from coursemart.plans.registry import SPARK_TYPES, conform, parse_columns
 from coursemart.plans.requirements import REQUIREMENTS, requirement_flags
@@ -242,3 +242,16 @@ def test_requirements(spark):
     marked = [r.asDict() for r in lists.select("gers", *requirement_flags("gers")).collect()]
     assert {f for f in flags if marked[0][f]} == {"THINK", "WAY_ER"}
     assert {f for f in flags if marked[1][f]} == set()
+
+
+def test_a_table_of_your_own_in_sql(spark):
+    sql_table(
+        "Openings",
+        "course_id bigint, account_name varchar(3)",
+        "SELECT d.id AS course_id, a.account_name FROM {course_dim} d JOIN {Accounts} a ON d.account_id = a.account_id",
+    )
+    try:
+        found = records(mart(spark, **ENROLLED).aux("Openings"), "course_id", "account_name")
+        assert found == [(i, "Mus") for i in (100, 101, 102, 103, 105)]
+    finally:
+        del TABLES["Openings"]
