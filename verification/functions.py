@@ -90,7 +90,7 @@ def quarter_upper_date_check(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_WORDS = r"coalesce(len(regexp_extract_all({text}, '[\p{{L}}\p{{N}}]+')), 0)"
+_WORDS = r"CAST(coalesce(len(regexp_extract_all({text}, '[\p{{L}}\p{{N}}]+')), 0) AS INTEGER)"
 
 
 @check(
@@ -106,7 +106,7 @@ def wordcount_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "sum_wordcount",
-    f"""SELECT lang, sum({_WORDS.format(text="left(text, greatest(length(text) - 1, 0))")}) AS words
+    f"""SELECT lang, CAST(sum({_WORDS.format(text="left(text, greatest(length(text) - 1, 0))")}) AS BIGINT) AS words
           FROM documents GROUP BY lang""",
 )
 def sum_wordcount(spark: SparkSession, sf: str) -> DataFrame:

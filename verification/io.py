@@ -91,7 +91,7 @@ _QUARTER_NAMES = """CASE WHEN p_size % 6 = 0 THEN 'Fall,Winter' WHEN p_size % 2
                          WHEN p_size % 3 = 0 THEN 'Winter' ELSE '""' END"""
 _CATALOG = f"""
     SELECT p_type || p_partkey AS course_code, p_type AS subject, p_name || ' & more' AS course_name,
-           p_size % 4 AS units_min, p_size % 4 + 2 AS units_max, '2018-2019' AS acad_year, p_partkey AS course_id,
+           p_size % 4 AS units_min, p_size % 4 + 2 AS units_max, '2018-2019' AS acad_year, CAST(p_partkey AS INTEGER) AS course_id,
            p_brand AS acad_group, 'ORG' || p_size AS department, 'UG' AS acad_career,
            CASE p_size % 6 WHEN 0 THEN 'THINK, WAY-ER,Writing 1' WHEN 1 THEN 'GER:DB-Hum' ELSE '' END AS ger_fulfillment,
            {_QUARTER_NAMES} AS quarter_name, {_INSTRUCTORS} AS instructors
@@ -309,7 +309,7 @@ def export_since_term_year(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     "export_by_seq_batches",
     """SELECT seq_num, user_id, CAST(floor((seq_num - 1) / 4000) AS BIGINT) AS batch
-         FROM (SELECT row_number() OVER (ORDER BY id) AS seq_num, user_id FROM enrollment_dim) AS s""",
+         FROM (SELECT CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS seq_num, user_id FROM enrollment_dim) AS s""",
 )
 def export_by_seq_batches_check(spark: SparkSession, sf: str) -> DataFrame:
     rows = mart(spark, sf).aux("AllUsers").select("seq_num", "user_id")

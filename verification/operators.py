@@ -510,7 +510,7 @@ def account_volume_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "account_batch_sizes",
-    f"SELECT batch, count(*) AS num_keys, sum(num_rows) AS num_rows FROM ({_BATCHES}) AS b GROUP BY batch",
+    f"SELECT batch, count(*) AS num_keys, CAST(sum(num_rows) AS BIGINT) AS num_rows FROM ({_BATCHES}) AS b GROUP BY batch",
 )
 def account_batch_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return batch_sizes(volume_batches(lms_source(spark, sf)["submission_fact"], "account_id", 450))
@@ -581,7 +581,8 @@ def dense_sequence_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NEWEST = """
-    SELECT o_orderpriority, o_orderdate, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC) AS rank
+    SELECT o_orderpriority, o_orderdate,
+           CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC) AS INTEGER) AS rank
       FROM (SELECT DISTINCT o_orderpriority, o_orderdate FROM orders) AS d"""
 
 

@@ -36,7 +36,7 @@ STEPS = {
     "Accounts": "SELECT id AS account_id, name AS account_name FROM account_dim",
     "Terms": "SELECT DISTINCT id AS term_id, name AS term_name, date_start AS start_date FROM enrollment_term_dim",
     "AllUsers": f"""
-        SELECT row_number() OVER (ORDER BY e.id) AS seq_num, e.user_id, u.name, e.type,
+        SELECT CAST(row_number() OVER (ORDER BY e.id) AS INTEGER) AS seq_num, e.user_id, u.name, e.type,
                CASE e.type WHEN 'TeacherEnrollment' THEN 'instructor' WHEN 'StudentEnrollment' THEN 'student'
                            WHEN 'TaEnrollment' THEN 'TA' WHEN 'DesignerEnrollment' THEN 'designer'
                            WHEN 'ObserverEnrollment' THEN 'observer' END AS role,
@@ -65,7 +65,7 @@ STEPS = {
                CAST(NULL AS INTEGER) AS units_max, CAST(NULL AS VARCHAR) AS ger_fulfillment,
                CAST(NULL AS VARCHAR) AS acad_group, CAST(NULL AS VARCHAR) AS department,
                CAST(NULL AS VARCHAR) AS acad_career, CAST(NULL AS VARCHAR) AS instructors,
-               n.enrollment, b.workflow_state
+               CAST(n.enrollment AS INTEGER) AS enrollment, b.workflow_state
           FROM courses_base b
           LEFT JOIN {first_row("term_names", "id", "name, date_end, term_name")} q ON b.enrollment_term_id = q.id
           LEFT JOIN {first_row("account_dim", "id", "name")} a ON b.account_id = a.id
@@ -140,7 +140,7 @@ STEPS = {
          WHERE d.workflow_state = 'completed' GROUP BY d.module_id""",
     "ModuleItems": """
         SELECT i.id, i.title, i.course_id, i.module_id, i.content_type, r.requirement_type, r.completion_status,
-               s.n AS num_started, c.n AS num_completed
+               CAST(s.n AS INTEGER) AS num_started, CAST(c.n AS INTEGER) AS num_completed
           FROM module_item_dim i
           LEFT JOIN module_progression_completion_requirement_dim r ON i.id = r.module_item_id
           LEFT JOIN started_counts s ON i.module_id = s.module_id
@@ -228,7 +228,8 @@ _TOPICS = f"""
            b.enrollment_term_id AS course_enrollment_term_id, b.account_id AS course_account_id,
            f.message_length AS disc_topic_msg_length, b.posted_at AS disc_topic_posted_at, b.course_id, b.course_name,
            b.course_code, c.course_code AS catnbr, b.course_start AS disc_topic_course_start_date,
-           coalesce(b.type, 'Discussion') AS disc_topic_type, n.num_entries AS disc_topic_num_contribs
+           coalesce(b.type, 'Discussion') AS disc_topic_type, 
+           CAST(n.num_entries AS INTEGER) AS disc_topic_num_contribs
       FROM topic_base b
       LEFT JOIN {first_row("discussion_topic_fact", "discussion_topic_id", "user_id, message_length")} f
         ON b.topic_id = f.discussion_topic_id
