@@ -48,7 +48,11 @@ def winner_per_key(
     """
     outputs = [v for v in dict.fromkeys(values) if v not in keys]
     ranked = [*order_by, *(v for v in outputs if v not in order_by)]
-    aggregates = [F.expr(f"min({ordered_struct(ranked)}) AS _best")] if ranked else []
+    if len(ranked) == 1:
+        # min() passes over NULLs by itself, and on a fixed-width column it needs no sort before the shuffle.
+        aggregates = [F.expr(f"struct(min({quoted(ranked[0])}) AS v0) AS _best")]
+    else:
+        aggregates = [F.expr(f"min({ordered_struct(ranked)}) AS _best")] if ranked else []
     if slot or not ranked:
         aggregates.append(F.expr(f"min(0L) AS {SLOT}"))
     best = lookup.where(f"NOT {any_null(keys)}").groupBy(*keys).agg(*aggregates)

@@ -11,15 +11,15 @@ _local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir`` (or set on the context already).
 
     Only a local-mode session without that setting gets a folder of its own; a cluster without it is an error, because a
     machine-local folder would not survive (or even be visible to) the other executors.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if sc.applicationId not in _local_dirs:

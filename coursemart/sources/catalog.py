@@ -28,15 +28,18 @@ CATALOG_XML_SCHEMA = (
 )
 
 
-def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog rows from comma-separated files with a header line and optional quotes. Empty text is no NULL here."""
+def read_catalog_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Catalog rows from comma-separated files with a header line and optional quotes. Empty text is no NULL here.
+
+    ``multi_line=False`` lets a large file without line breaks in its text be split between many tasks.
+    """
     rows = (
         spark.read.schema(CATALOG_COLUMNS)
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

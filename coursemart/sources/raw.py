@@ -103,8 +103,14 @@ def read_raw(spark: SparkSession, name: str, location: str, fmt: str = "parquet"
     return clean_zero_dates(read_table(spark, location, fmt, **options), raw_schema(name))
 
 
-def read_excerpt(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A headerless comma-separated table dump with optional quotes, backslash escapes and ``\\N`` for NULL."""
+def read_excerpt(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True
+) -> DataFrame:
+    """A headerless comma-separated table dump with optional quotes, backslash escapes and ``\\N`` for NULL.
+
+    Text may hold line breaks, so a file is read by one task; for dumps without any, ``multi_line=False`` lets a large
+    file be split between many.
+    """
     return (
         spark.read.schema(schema)
         .option("sep", ",")
@@ -112,7 +118,7 @@ def read_excerpt(spark: SparkSession, path: str, schema: StructType | str) -> Da
         .option("escape", "\\")
         .option("nullValue", "\\N")
         .option("emptyValue", "")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
