@@ -1,6 +1,6 @@
 from coursemart.operators.batches import batch_sizes, volume_batches
 from coursemart.operators.counts import conditional_counts, count_matches_outer, count_pairs_by_key
-from coursemart.operators.enrich import enrich_left, join_distinct, winner_per_key
+from coursemart.operators.enrich import enrich_left, enrich_per_key, join_distinct, winner_per_key
 from coursemart.operators.keys import dedupe_on_key, dense_sequence, keep_min_per_key, latest_per_key, newest_n
 from coursemart.operators.rows import (
     anti_join_append,
@@ -25,6 +25,7 @@ __all__ = [
     "delete_where",
     "dense_sequence",
     "enrich_left",
+    "enrich_per_key",
     "join_distinct",
     "keep_min_per_key",
     "latest_per_key",

@@ -14,7 +14,7 @@ How it scales
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,6 +116,26 @@ def enrich_left(
     )
 
 
+def enrich_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    fill: Callable[[DataFrame], DataFrame],
+    key_rows: DataFrame | None = None,
+) -> DataFrame:
+    """Several lookups that depend on ``keys`` only: made once per distinct key, then joined back in one go.
+
+    ``fill`` takes a table of the distinct keys and returns it with the new columns, one row per key as before. A large table
+    thus meets one join instead of one per lookup, and the keys shrink on the map side before anything is shuffled.
+    ``key_rows`` is a cheaper table that holds every key of ``df``. NULL is a key value like any other.
+    """
+    distinct = (df if key_rows is None else key_rows).select(*keys).distinct()
+    filled = fill(distinct)
+    added = [c for c in filled.columns if c not in keys]
+    looked_up = filled.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(keys)})
+    condition = " AND ".join(f"{quoted(k)} <=> _key{i}" for i, k in enumerate(keys))
+    return df.join(looked_up, F.expr(condition), "left").select(*df.columns, *added)
+
+
 def join_distinct(
     df: DataFrame, lookup: DataFrame, on: str, how: str = "left", spread_by: Sequence[str] | None = None
 ) -> DataFrame:

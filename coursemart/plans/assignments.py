@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursemart.functions.text import same_text
-from coursemart.operators import anti_join_append, delete_where, enrich_left
+from coursemart.operators import anti_join_append, delete_where, enrich_left, enrich_per_key
 from coursemart.plans.registry import Mart, auxiliary_table
 
 
@@ -32,34 +34,35 @@ def assignment_submissions(mart: Mart) -> DataFrame:
         .withColumnsRenamed({"id": "submission_id", "published_grade": "grade_letter"})
         .join(graded, ["submission_id", "assignment_id"])
     )
-    id_only = ["submission_id"]
     rows = enrich_left(
-        rows,
+        rows, mart.aux("Students"), {"user_id": "user_id"}, {"student_name": "student_name"}, spread_by=["submission_id"]
+    )
+    # The other lookups depend on assignment, course and term alone, of which there are far fewer than submissions. They come
+    # last, so that the descriptions are not carried through another shuffle.
+    return enrich_per_key(rows, ["assignment_id", "course_id", "enrollment_term_id"], partial(_described, mart), graded)
+
+
+def _described(mart: Mart, keys: DataFrame) -> DataFrame:
+    """Names, points and description for (assignment_id, course_id, enrollment_term_id)."""
+    named = enrich_left(
+        keys,
         mart.raw("course_dim"),
         {"enrollment_term_id": "enrollment_term_id", "course_id": "id"},
         {"course_name": "name"},
-        spread_by=id_only,
     )
-    rows = enrich_left(
-        rows,
+    named = enrich_left(named, mart.aux("Terms"), {"enrollment_term_id": "term_id"}, {"term_name": "term_name"})
+    rated = enrich_left(
+        named,
         mart.raw("assignment_fact"),
         {"assignment_id": "assignment_id", "course_id": "course_id"},
         {"points_possible": "points_possible"},
-        spread_by=id_only,
     )
-    rows = enrich_left(
-        rows, mart.aux("Terms"), {"enrollment_term_id": "term_id"}, {"term_name": "term_name"}, spread_by=id_only
-    )
-    rows = enrich_left(
-        rows,
+    return enrich_left(
+        rated,
         mart.raw("assignment_dim"),
         {"assignment_id": "id" if mart.settings.key_fix else "assignment_group_id"},
         {"assignment_name": "title", "assignment_description": "description"},
         order_by=["id"],
-        spread_by=id_only,
-    )
-    return enrich_left(
-        rows, mart.aux("Students"), {"user_id": "user_id"}, {"student_name": "student_name"}, spread_by=id_only
     )
 
 

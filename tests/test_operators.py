@@ -16,6 +16,7 @@ from coursemart.operators import (
     delete_where,
     dense_sequence,
     enrich_left,
+    enrich_per_key,
     join_distinct,
     keep_min_per_key,
     latest_per_key,
@@ -94,6 +95,19 @@ def test_enrich_against_brute_force(spark):
     assert rows(result) == sorted(((i, a, b, winner(a, b)) for i, a, b in left), key=repr)
 
 
+def test_enrich_per_key_equals_a_lookup_per_row(spark):
+    data = [(i, k, j) for i, (k, j) in enumerate([(1, 1), (1, 1), (1, None), (None, 1), (None, None), (2, 2), (3, 1)])]
+    left = frame(spark, "i int, k int, j int", *data)
+    by_k = frame(spark, "k int, v string", (1, "b"), (1, "a"), (2, "c"))
+    by_j = frame(spark, "j int, w string", (1, "x"))
+
+    def fill(keys):
+        return enrich_left(enrich_left(keys, by_k, {"k": "k"}, {"v": "v"}), by_j, {"j": "j"}, {"w": "w"})
+
+    assert rows(enrich_per_key(left, ["k", "j"], fill)) == rows(fill(left))
+    assert rows(enrich_per_key(left, ["k", "j"], fill, left.where("i <> 0"))) == rows(fill(left))
+
+
 def test_join_distinct_fans_out_once_per_distinct_row(spark):
     left = frame(spark, "u int, x int", (1, 0), (2, 0), (None, 0))
     names = frame(spark, "u int, name string", (1, "a"), (1, "a"), (1, None), (3, "c"), (None, "n"))

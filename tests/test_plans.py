@@ -110,11 +110,25 @@ def test_present_keys_are_reduced_before_they_are_shuffled(spark):
 
 
 def test_an_unused_lookup_is_pruned(spark):
-    text = plan(mart(spark).aux("AssignmentSubmissions").select("submission_id"))
-    # submission_dim and submission_fact only: every enrichment that feeds no output column is gone.
+    text = plan(mart(spark).aux("Modules").select("id"))
+    # module_dim and module_fact only: every enrichment that feeds no output column is gone.
     assert text.count("Join") == 1
 
 
+def test_a_hot_right_side_of_an_outer_join_is_split(spark):
+    from coursemart.operators import left_join_large
+
+    with settings(spark, **SKEWED):
+        few = spark.range(-10, 100).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+        df = left_join_large(few, hot(spark).withColumnRenamed("id", "i"), ["k"])
+        counted = df.groupBy(F.col("text").isNull()).count()
+        expected = few.join(hot(spark), "k", "left").groupBy(F.col("text").isNull()).count()
+        assert rows(counted) == rows(expected)
+        df.collect()
+        text = plan(df)
+    assert "SortMergeJoin(skew=true)" in text
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     m = mart(spark)
     for name in ("submission_fact", "submission_dim"):
