@@ -147,8 +147,18 @@ class LmsSource:
         )
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, **options: str):
-        return cls({name: (lambda name=name: read_raw(spark, name, name, "jdbc", **options)) for name in RAW_COLUMNS})
+    def from_jdbc(
+        cls, spark: SparkSession, partitions: Mapping[str, Mapping[str, str]] | None = None, **options: str
+    ):
+        """All raw tables of one database. ``partitions`` gives each large table its own ``partitionColumn``,
+        ``lowerBound``, ``upperBound`` and ``numPartitions``; a table without them is read by one task."""
+        split = partitions or {}
+        return cls(
+            {
+                name: (lambda name=name: read_raw(spark, name, name, "jdbc", **{**options, **split.get(name, {})}))
+                for name in RAW_COLUMNS
+            }
+        )
 
     def __contains__(self, name: str) -> bool:
         return name in self._tables
