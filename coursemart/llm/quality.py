@@ -29,7 +29,9 @@ SAMPLE = 4000
 TRAIN_PASSAGES = 24
 N_FEATURES = 256 + 5
 HIDDEN, GATE = 48, 24
-EPOCHS, BATCH, RATE, DECAY = 14, 64, 3e-3, 1e-4
+#: Passes over the sample, or as many more as give this number of steps.
+EPOCHS, STEPS = 14, 600
+BATCH, RATE, DECAY = 64, 3e-3, 1e-4
 SEED = 5
 THRESHOLD = 0.7
 
@@ -119,7 +121,7 @@ class Attention:
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(bags)))):
             order = rng.permutation(len(bags))
             for i in range(0, len(order), BATCH):
                 take = order[i : i + BATCH]
