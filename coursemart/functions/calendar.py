@@ -6,7 +6,8 @@ following calendar year.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
+from functools import cache
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
@@ -78,21 +79,43 @@ def quarter_upper_date(quarter: Column | str, year: Column | str | int) -> Colum
     return _quarter_day(quarter, year, QUARTER_ENDS)
 
 
-def _zone_names(zone: str) -> dict[int, str]:
-    """UTC offset in minutes -> abbreviation, for the offsets the zone has used since 1970."""
+def plain_utc(at: datetime) -> datetime:
+    """A moment as UTC wall-clock time: an aware one is converted, a plain one is UTC already."""
+    return at if at.tzinfo is None else at.astimezone(UTC).replace(tzinfo=None)
+
+
+def utc_literal(at: datetime) -> Column:
+    """``at`` as TIMESTAMP_NTZ. It goes through text, so the session's zone has no part in it."""
+    return F.lit(plain_utc(at).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+@cache
+def _zone_names(zone: str) -> tuple[tuple[datetime, ...], tuple[str, ...]]:
+    """UTC moments at which the zone's name changes, 1900 to 2100, and the names before, between and after them."""
     tz = ZoneInfo(zone)
-    names: dict[int, str] = {}
-    moment = datetime(1970, 1, 15, tzinfo=tz)
-    while moment.year < 2038:
-        names[int(moment.utcoffset().total_seconds()) // 60] = moment.tzname()
-        moment += timedelta(days=30)
-    return names
+
+    def name(moment: datetime) -> str:
+        return moment.astimezone(tz).tzname()
+
+    begin, step, end = datetime(1900, 1, 1, tzinfo=UTC), timedelta(days=15), datetime(2100, 1, 1, tzinfo=UTC)
+    changes, names = [], [name(begin)]
+    while begin < end:
+        low, high = begin, begin + step
+        if name(high) != names[-1]:
+            while high - low > timedelta(seconds=1):
+                middle = (low + (high - low) / 2).replace(microsecond=0)
+                low, high = (middle, high) if name(middle) == names[-1] else (low, middle)
+            changes.append(high.replace(tzinfo=None))
+            names.append(name(high))
+        begin += step
+    return tuple(changes), tuple(names)
 
 
 def utc_to_local_text(instant: Column | str, zone: str) -> Column:
-    """A UTC wall-clock timestamp as ``YYYY-mm-dd HH:MM:SS TZ`` in ``zone``."""
+    """A UTC wall-clock timestamp as ``YYYY-mm-dd HH:MM:SS TZ`` in ``zone``; TZ is the name in use at that moment."""
     utc = (F.col(instant) if isinstance(instant, str) else instant).cast("timestamp_ntz")
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    minutes = F.timestamp_diff("MINUTE", utc, local)
-    names = F.create_map(*[F.lit(part) for pair in _zone_names(zone).items() for part in pair])
-    return F.concat_ws(" ", F.date_format(local, "yyyy-MM-dd HH:mm:ss"), names[minutes.cast("int")])
+    changes, names = _zone_names(zone)
+    passed = F.size(F.filter(F.array(*(utc_literal(t) for t in changes)), lambda t: t <= utc)) if changes else F.lit(0)
+    letters = F.when(utc.isNotNull(), F.get(F.array(*(F.lit(n) for n in names)), passed))
+    return F.concat_ws(" ", F.date_format(local, "yyyy-MM-dd HH:mm:ss"), letters)

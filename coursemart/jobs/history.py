@@ -7,13 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.functions.calendar import utc_to_local_text
+from coursemart.functions.calendar import utc_literal, utc_to_local_text
 from coursemart.operators.keys import latest_per_key
 
 
 def load_log_entry(df: DataFrame, name: str, at: datetime | None = None) -> DataFrame:
     """(tbl_name, time_refreshed, num_rows) of one built table; ``at`` is UTC, by default now."""
-    moment = F.lit(at).cast("timestamp_ntz") if at else F.convert_timezone(
+    moment = utc_literal(at) if at else F.convert_timezone(
         F.current_timezone(), F.lit("UTC"), F.localtimestamp()
     )
     return df.agg(F.count("*").alias("num_rows")).select(

@@ -16,7 +16,7 @@ from coursemart.plans.registry import Mart, auxiliary_table
     account_name varchar(255), course_name varchar(255), stanford_course_id int, code varchar(255),
     date_end datetime, quarter_name_canvas varchar(16), quarter_name_peoplesoft varchar(40), acad_year varchar(25),
     course_code varchar(30), subject varchar(15), units_max int, ger_fulfillment varchar(255), acad_group varchar(25),
-    department varchar(40), acad_career varchar(10), instructors varchar(255), enrollment int,
+    department varchar(40), acad_career varchar(10), instructors varchar(255), enrollment bigint,
     workflow_state varchar(40)""",
 )
 def courses(mart: Mart, exact_enrollment: bool = False) -> DataFrame:

@@ -63,7 +63,7 @@ def discussion_messages(mart: Mart) -> DataFrame:
     disc_topic_author_role varchar(40), disc_topic_title varchar(256), course_enrollment_term_id bigint,
     course_account_id bigint, disc_topic_msg_length int, disc_topic_posted_at timestamp, course_id bigint,
     course_name varchar(255), course_code varchar(100), catnbr varchar(20), disc_topic_course_start_date timestamp,
-    disc_topic_type varchar(20), disc_topic_num_contribs int""",
+    disc_topic_type varchar(20), disc_topic_num_contribs bigint""",
 )
 def discussion_topics(mart: Mart) -> DataFrame:
     topics = active_topics(mart).select(

@@ -43,7 +43,7 @@ def modules(mart: Mart) -> DataFrame:
 @auxiliary_table(
     "ModuleItems",
     """id bigint, title text, course_id bigint, module_id bigint, content_type varchar(50),
-    requirement_type varchar(36), completion_status varchar(36), num_started int, num_completed int""",
+    requirement_type varchar(36), completion_status varchar(36), num_started bigint, num_completed bigint""",
 )
 def module_items(mart: Mart) -> DataFrame:
     requirements = mart.raw("module_progression_completion_requirement_dim").select(

@@ -36,6 +36,8 @@ class Settings:
     # Some lookups compare ids of different kinds (a group id with an assignment id, say). They are the default, since
     # existing results rest on them; True compares like with like.
     key_fix: bool = False
+    # True cuts text to the declared length of its column; by default text is kept whole, whatever the declaration.
+    cut_text: bool = False
 
 
 @dataclass(frozen=True)
@@ -54,14 +56,14 @@ def parse_columns(text: str) -> tuple[tuple[str, str], ...]:
     return tuple(tuple(part.split(None, 1)) for part in re.split(r"\s*,\s*", text.strip()))
 
 
-def conform(df: DataFrame, columns: tuple[tuple[str, str], ...]) -> DataFrame:
-    """Declared columns only, in order and typed; missing ones become NULL, longer text is cut to the declared length."""
+def conform(df: DataFrame, columns: tuple[tuple[str, str], ...], cut_text: bool = False) -> DataFrame:
+    """Declared columns only, in order and typed; missing ones become NULL. ``cut_text`` cuts text to the declared length."""
     present = set(df.columns)
 
     def column(name: str, declared: str) -> str:
         base, length = re.fullmatch(r"(\w+)(?:\((\d+)\))?", declared).groups()
         value = f"CAST({quoted(name) if name in present else 'NULL'} AS {SPARK_TYPES[base]})"
-        if length and name in present:
+        if cut_text and length and name in present:
             value = f"left({value}, {length})"
         return f"{value} AS {quoted(name)}"
 
@@ -114,5 +116,5 @@ class Mart:
             return self.built[name]
         if name not in self._composed:
             spec = TABLES[name]
-            self._composed[name] = conform(spec.builder(self), spec.columns)
+            self._composed[name] = conform(spec.builder(self), spec.columns, self.settings.cut_text)
         return self._composed[name]

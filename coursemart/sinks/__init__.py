@@ -1,6 +1,8 @@
 from coursemart.sinks.export import (
+    ExportReport,
     escape_tsv,
     export,
+    export_all,
     export_by_account_batches,
     export_by_seq_batches,
     rows_since_term_year,
@@ -11,8 +13,10 @@ from coursemart.sinks.export import (
 from coursemart.sinks.tables import write_table
 
 __all__ = [
+    "ExportReport",
     "escape_tsv",
     "export",
+    "export_all",
     "export_by_account_batches",
     "export_by_seq_batches",
     "rows_since_term_year",

@@ -2,16 +2,21 @@
 
 Dialects
 --------
-``tsv``         tab separated, NULL spelled ``NULL``; tab, line feed and backslash in text escaped with a backslash
+``tsv``         tab separated, NULL spelled ``NULL``; tab, line ends, NUL and backslash in text escaped with a backslash
 ``csv_quoted``  comma separated, every value in double quotes
 ``excerpt``     headerless commas, quotes where needed, NULL spelled ``\\N``; read back by ``sources.read_excerpt``
+
+Records end with a line feed in all of them. Times keep their fractions of seconds, six digits where there are any.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, TimestampNTZType
+from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from coursemart.functions.names import term_year
 from coursemart.functions.text import sanitize_text
@@ -38,11 +43,26 @@ def sanitize_strings(df: DataFrame) -> DataFrame:
 
 
 def _escape_text(c: Column) -> Column:
-    for plain, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\0", "\\0")):
+    for plain, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")):
         c = F.replace(c, F.lit(plain), F.lit(escaped))
     return c
 
 
+def _time_text(c: Column) -> Column:
+    whole = F.date_trunc("second", c) == c
+    return F.when(whole, F.date_format(c, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def times_as_text(df: DataFrame) -> DataFrame:
+    """Timestamps as the text that dumps show, whole in every digit."""
+    return df.select(
+        *(
+            _time_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (TimestampNTZType, TimestampType)) else F.col(f.name)
+            for f in df.schema
+        )
+    )
+
+
 def escape_tsv(df: DataFrame) -> DataFrame:
     """Every column as the text the ``tsv`` dialect shows for it."""
 
@@ -50,8 +70,8 @@ def escape_tsv(df: DataFrame) -> DataFrame:
         c = F.col(field.name)
         if isinstance(field.dataType, StringType):
             text = _escape_text(c)
-        elif isinstance(field.dataType, TimestampNTZType):
-            text = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(field.dataType, (TimestampNTZType, TimestampType)):
+            text = _time_text(c)
         else:
             text = c.cast("string")
         return F.coalesce(text, F.lit("NULL")).alias(field.name)
@@ -64,8 +84,8 @@ def export(
 ) -> None:
     """Write ``df`` to the folder ``dest``, replacing it."""
     rows = sanitize_strings(df) if sanitize else df
+    rows = escape_tsv(rows) if dialect == "tsv" else times_as_text(rows)
     if dialect == "tsv":
-        rows = escape_tsv(rows)
         options = {"sep": "\t", "header": True, "quote": "", "escapeQuotes": False, "emptyValue": ""}
     elif dialect == "csv_quoted":
         options = {"sep": ",", "header": True, "quoteAll": True, "escape": '"', "nullValue": "NULL"}
@@ -76,7 +96,7 @@ def export(
     writer = rows.write.mode("overwrite").options(
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+        lineSep="\n",
         **options,
     )
     if partition_by is not None:
@@ -116,3 +136,33 @@ def rows_since_term_year(df: DataFrame, terms: DataFrame, start_year: int, term:
     """Rows whose term's name ends in ``start_year`` or later."""
     recent = terms.where(term_year("term_name") >= start_year)
     return restrict_to_keys(df, recent, {term: "term_id"})
+
+
+@dataclass
+class ExportReport:
+    done: list[str] = field(default_factory=list)
+    skipped: list[str] = field(default_factory=list)
+    #: Table -> why its export failed.
+    errors: dict[str, str] = field(default_factory=dict)
+
+
+def export_all(
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame]], dest: str, dialect: str = "tsv", overwrite: bool = False
+) -> ExportReport:
+    """Export each table to its folder below ``dest``. Finished exports are left alone unless ``overwrite``; a table that
+    fails is reported, and the others are exported all the same. A table may be given as a function that opens it."""
+    report = ExportReport()
+    for name, given in tables.items():
+        path = f"{dest.rstrip('/')}/{name}"
+        try:
+            df = given if isinstance(given, DataFrame) else given()
+            done = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+            files = done.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+            if not overwrite and files.exists(done):
+                report.skipped.append(name)
+                continue
+            export(df, path, dialect)
+            report.done.append(name)
+        except Exception as error:  # noqa: BLE001 - one table's failure must not keep the others back
+            report.errors[name] = str(error)
+    return report

@@ -31,7 +31,7 @@ CATALOG_XML_SCHEMA = (
 def read_catalog_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Catalog rows from comma-separated files with a header line and optional quotes. Empty text is no NULL here.
 
-    ``multi_line=False`` lets a large file without line breaks in its text be split between many tasks.
+    A record with too few or too many values, or text where a number belongs, is an error. ``multi_line=False`` lets a large file without line breaks in its text be split between many tasks.
     """
     rows = (
         spark.read.schema(CATALOG_COLUMNS)
@@ -40,20 +40,67 @@ def read_catalog_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
+        .option("lineSep", "\n")
+        .option("mode", "FAILFAST")
         .csv(path)
     )
     return rows.na.fill("")
 
 
-def read_catalog_xml(spark: SparkSession, path: str) -> DataFrame:
-    """One row per <course> element, with its nested fields.
+class CatalogError(ValueError):
+    """A response or file that is no complete catalog."""
 
-    The text source cuts the files at the closing tag, so a single large file is read by many tasks.
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value, plain): the text up to each closing ``course`` tag, and the same without comments."""
+    text = spark.read.option("lineSep", "</course>").text(path)
+    plain = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
+    return text.select(F.col("_metadata.file_path").alias("file"), "value", plain.alias("plain"))
+
+
+def catalog_faults(spark: SparkSession, path: str) -> DataFrame:
+    """(file, fault) of the files at ``path`` that are no whole catalog: an HTML page (its title is the fault), or XML that is cut.
+
+    The files are read in pieces up to a closing ``course`` tag, so a large file is checked by many tasks. What follows the last
+    course has to end with a closing tag and open no further course.
+    """
+    is_page = F.regexp_like("value", F.lit(r"(?is)<!doctype\s+html|<html[\s>]"))
+    is_end = F.regexp_like("plain", F.lit(r"(?s)(</[\w:.-]+|/)>\s*$")) & ~F.regexp_like("plain", F.lit(r"<course(\s[^>]*[^/>])?>"))
+    by_file = _pieces(spark, path).groupBy("file").agg(
+        F.max(F.when(is_page, F.coalesce(response_title("value"), F.lit("HTML page")))).alias("page"),
+        F.count_if(is_end).alias("ends"),
+    )
+    fault = F.when(F.col("page").isNotNull(), F.col("page")).when(F.col("ends") == 0, F.lit("catalog is cut short"))
+    return by_file.select("file", fault.alias("fault")).where("fault IS NOT NULL")
+
+
+def require_catalog(spark: SparkSession, path: str) -> None:
+    """An error naming the first file that is no whole catalog, and why."""
+    first = catalog_faults(spark, path).orderBy("file").first()
+    if first:
+        raise CatalogError(f"{first['file']}: {first['fault']}")
+
+
+def read_catalog_xml(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """One row per <course> element that holds anything, with its nested fields.
+
+    Files that are no whole catalog and broken elements are errors, comments are skipped. A file is cut at the closing tags, so
+    that many tasks read a large one. A file in which a cut would fall into a comment or follow an element without
+    content goes to the XML source, one task per file, and so do other encodings than UTF-8.
     """
-    pieces = spark.read.option("lineSep", "</course>").text(path)
-    elements = pieces.select(F.regexp_extract("value", r"(?s)<course[\s>].*", 0).alias("_open")).where("_open <> ''")
-    return parse_catalog_text(elements.select(F.concat("_open", F.lit("</course>")).alias("_xml")), "_xml")
+    require_catalog(spark, path)
+    options = {"rowTag": "course", "mode": "FAILFAST", "encoding": encoding}
+    xml = spark.read.schema(CATALOG_XML_SCHEMA).options(**options)
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        return xml.xml(path).dropna("all")
+    pieces = _pieces(spark, path)
+    # One name per file at most.
+    odd = pieces.where(F.regexp_like("plain", F.lit(r"<!--|-->|<course(\s[^>]*)?/>"))).select("file").distinct().collect()
+    names = [row["file"] for row in odd]
+    cut = pieces.where(~F.col("file").isin(names)) if names else pieces
+    elements = cut.select(F.regexp_extract("plain", r"(?s)<course[\s>].*", 0).alias("_open")).where("_open <> ''")
+    found = parse_catalog_text(elements.select(F.concat("_open", F.lit("</course>")).alias("_xml")), "_xml")
+    return found.union(xml.xml(",".join(names)).dropna("all")) if names else found
 
 
 def parse_catalog_text(df: DataFrame, xml: str) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType
+from pyspark.sql.types import DataType, DateType, StringType, StructField, StructType, TimestampNTZType
 
 # The raw columns the tables below are built from, all nullable.
 RAW_COLUMNS = {
@@ -85,19 +85,57 @@ def read_table(spark: SparkSession, location: str, fmt: str = "parquet", **optio
     return reader.option("dbtable", location).load() if fmt == "jdbc" else reader.load(location)
 
 
+def _typed(c: Column, kind: DataType, is_text: bool) -> Column:
+    """``c`` in a declared type where it can be, else NULL; all-zero dates are NULL."""
+    if not is_text:
+        return c.cast(kind)
+    if isinstance(kind, TimestampNTZType):
+        return F.try_to_timestamp(c).cast(kind)
+    return c.try_cast(kind)
+
+
+def _is_text(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() == "string"
+
+
+#: A date or time of nothing but zeros, which stands for a missing one.
+_ZERO_DATE = r"^[0:. T/-]*$"
+
+
+def _unreadable(df: DataFrame, field) -> Column:
+    """Whether a column holds text that is neither of its declared type nor a zero date."""
+    c = F.col(field.name)
+    if not _is_text(df, field.name) or isinstance(field.dataType, StringType):
+        return F.lit(False)
+    missing = c.rlike(_ZERO_DATE) & (c != "") if isinstance(field.dataType, (TimestampNTZType, DateType)) else F.lit(False)
+    return c.isNotNull() & ~missing & _typed(c, field.dataType, True).isNull()
+
+
 def clean_zero_dates(df: DataFrame, schema: StructType) -> DataFrame:
-    """Bring columns to the declared types; all-zero dates and other text that is no timestamp become NULL."""
+    """Bring columns to the declared types; all-zero dates become NULL, and other text that is not of its type is an error.
+
+    ``unreadable_values`` lists such text instead.
+    """
 
     def typed(field):
-        c = F.col(field.name)
-        is_text = df.schema[field.name].dataType.typeName() == "string"
-        if isinstance(field.dataType, TimestampNTZType) and is_text:
-            return F.try_to_timestamp(c).cast(field.dataType).alias(field.name)
-        return (c.try_cast(field.dataType) if is_text else c.cast(field.dataType)).alias(field.name)
+        value = _typed(F.col(field.name), field.dataType, _is_text(df, field.name))
+        message = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), F.col(field.name).cast("string"))
+        checked = F.when(_unreadable(df, field), F.raise_error(message).cast(field.dataType)).otherwise(value)
+        return checked.alias(field.name)
 
     return df.select(*(typed(field) for field in schema))
 
 
+def unreadable_values(df: DataFrame, schema: StructType) -> DataFrame:
+    """(column_name, value, n) of text that ``clean_zero_dates`` would refuse; empty means the table is fine."""
+    found = [
+        F.when(_unreadable(df, f), F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("value")))
+        for f in schema
+    ]
+    rows = df.select(F.explode(F.array_compact(F.array(*found))).alias("_v"))
+    return rows.groupBy("_v.column_name", "_v.value").agg(F.count("*").alias("n"))
+
+
 def read_raw(spark: SparkSession, name: str, location: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """A raw table with its declared columns and types only."""
     return clean_zero_dates(read_table(spark, location, fmt, **options), raw_schema(name))
@@ -108,20 +146,25 @@ def read_excerpt(
 ) -> DataFrame:
     """A headerless comma-separated table dump with optional quotes, backslash escapes and ``\\N`` for NULL.
 
-    Text may hold line breaks, so a file is read by one task; for dumps without any, ``multi_line=False`` lets a large
-    file be split between many.
+    Records end with a line feed. Text may hold line breaks, so a file is read by one task; for dumps without any,
+    ``multi_line=False`` lets a large file be split between many. A record with too few or too many values, and text that is not of its
+    column's type, is an error; all-zero dates are NULL.
     """
-    return (
-        spark.read.schema(schema)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    texts = StructType([StructField(f.name, StringType()) for f in declared])
+    found = (
+        spark.read.schema(texts)
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", "\\")
         .option("nullValue", "\\N")
         .option("emptyValue", "")
         .option("multiLine", multi_line)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .option("lineSep", "\n")
+        .option("mode", "FAILFAST")
         .csv(path)
     )
+    return clean_zero_dates(found, declared)
 
 
 class LmsSource:

@@ -1,7 +1,15 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from coursemart.sources import catalog_rows, parse_catalog_text, read_catalog_csv, read_catalog_xml, response_title
+from coursemart.sources import (
+    CatalogError,
+    catalog_rows,
+    parse_catalog_text,
+    read_catalog_csv,
+    read_catalog_xml,
+    response_title,
+)
 
 
 def course(instructors=(), quarters=(), gers=None, code="10"):
@@ -87,3 +95,43 @@ def test_error_page_instead_of_a_catalog(spark):
     )
     found = [r[0] for r in pages.select(response_title(F.col("body"))).collect()]
     assert found == ["503 Service\nUnavailable", None, None]
+
+
+def catalog_file(folder, body, encoding="UTF-8"):
+    text = f"<?xml version='1.0' encoding='{encoding}'?>\n<xml><courses>{body}</courses></xml>\n"
+    (folder / "catalog.xml").write_bytes(text.encode(encoding))
+    return str(folder / "catalog.xml")
+
+
+@pytest.mark.parametrize(
+    ("text", "says"),
+    [
+        ("<html><head><title>503 Service Unavailable</title></head></html>", "503 Service Unavailable"),
+        ("<!DOCTYPE html>\n<p>no title</p>", "HTML page"),
+        (f"<courses>{course()}{course()}", "cut short"),
+        (f"<courses>{course()}{course()[:200]}", "cut short"),
+        ("", "cut short"),
+    ],
+)
+def test_no_catalog_is_an_error(spark, tmp_path, text, says):
+    (tmp_path / "bad.xml").write_text(text or " ")
+    with pytest.raises(CatalogError, match=says):
+        read_catalog_xml(spark, str(tmp_path / "bad.xml"))
+
+
+def test_comments_and_empty_elements_add_nothing(spark, tmp_path):
+    body = f"<!-- {course(code='8')} --><course />{course(code='9')}<!-- <course> -->{course(code='10')}"
+    found = catalog_rows(read_catalog_xml(spark, catalog_file(tmp_path, body)))
+    assert rows(found.select("course_code")) == [("AA10",), ("AA9",)]
+    assert catalog_rows(read_catalog_xml(spark, catalog_file(tmp_path, ""))).count() == 0
+
+
+def test_other_encodings(spark, tmp_path):
+    path = catalog_file(tmp_path, course().replace("Flying", "\u00c9tudes"), "ISO-8859-1")
+    assert catalog_rows(read_catalog_xml(spark, path, "ISO-8859-1")).first()["course_name"] == "I <3 \u00c9tudes"
+
+
+def test_broken_csv_is_an_error(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("a,b\n1,2,3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_catalog_csv(spark, str(tmp_path / "c.csv")).collect()

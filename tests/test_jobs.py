@@ -1,5 +1,5 @@
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import rows
@@ -11,16 +11,21 @@ from coursemart.jobs import (
     load_log_history,
     load_log_latest,
     log_errors,
+    health_findings,
+    load_log_entry,
     prune,
+    read_latest,
     read_snapshots,
     restore,
     retain,
     shrunken,
     snapshot,
+    snapshot_times,
     split_attribute_prefix,
     stale,
     word_frequency,
 )
+from coursemart.functions.calendar import utc_to_local_text
 from coursemart.jobs.snapshots import SnapshotError
 from coursemart.plans import TABLES, build
 from coursemart.sources import read_log_lines
@@ -100,20 +105,52 @@ def test_word_counts_against_plain_python(spark):
 def test_load_log(spark):
     log = spark.createDataFrame(
         [
-            ("tbl1", datetime(2010, 9, 30, 20, 10, 4), 10),
-            ("tbl2", datetime(2012, 9, 30, 20, 10, 4), 20),
-            ("tbl1", datetime(2011, 9, 30, 20, 10, 4), 20),
+            ("Rooms", datetime(2021, 3, 14, 9, 59, 59), 7),
+            ("Bells", datetime(2021, 11, 7, 9, 0), 3),
+            ("Rooms", datetime(2021, 3, 14, 10, 0), 8),
         ],
         "tbl_name string, time_refreshed timestamp_ntz, num_rows bigint",
     )
-    zone = "America/Los_Angeles"
-    assert [tuple(r) for r in load_log_history(log, zone).collect()] == [
-        ("tbl1", "2010-09-30 13:10:04 PDT", 10), ("tbl1", "2011-09-30 13:10:04 PDT", 20),
-        ("tbl2", "2012-09-30 13:10:04 PDT", 20),
-    ]
-    assert [tuple(r) for r in load_log_latest(log, zone).collect()] == [
-        ("tbl1", "2011-09-30 13:10:04 PDT", 20), ("tbl2", "2012-09-30 13:10:04 PDT", 20),
+    # The clock goes forward between the two loads of Rooms, and back in the hour of Bells.
+    assert [tuple(r) for r in load_log_history(log, "America/Los_Angeles").collect()] == [
+        ("Bells", "2021-11-07 01:00:00 PST", 3), ("Rooms", "2021-03-14 01:59:59 PST", 7),
+        ("Rooms", "2021-03-14 03:00:00 PDT", 8),
     ]
+    assert [r["num_rows"] for r in load_log_latest(log, "America/Los_Angeles").collect()] == [3, 8]
+
+
+def test_zone_names_follow_the_moment(spark):
+    # Four hours ahead of UTC was summer time in one year and standard time in another.
+    times = spark.createDataFrame([(datetime(2005, 7, 1),), (datetime(2013, 7, 1),), (None,)], "t timestamp_ntz")
+    found = [r[0] for r in times.select(utc_to_local_text("t", "Europe/Moscow")).collect()]
+    assert found[:2] == ["2005-07-01 04:00:00 MSD", "2013-07-01 04:00:00 MSK"]
+
+
+@pytest.fixture(params=["UTC", "America/Los_Angeles"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+#: A time that Los Angeles' clocks skip.
+GAP = datetime(2021, 3, 14, 2, 30, 0, 5)
+
+
+def test_times_do_not_depend_on_the_session(spark, tmp_path, zone):
+    logged = load_log_entry(spark.range(3), "Rooms", GAP).selectExpr("cast(time_refreshed AS string)", "num_rows").first()
+    assert tuple(logged) == ("2021-03-14 02:30:00.000005", 3)
+    aware = datetime(2021, 3, 14, 4, 30, tzinfo=timezone(timedelta(hours=2)))
+    assert load_log_entry(spark.range(1), "x", aware).selectExpr("cast(time_refreshed AS string)").first()[0].endswith("02:30:00")
+    base = str(tmp_path / "snaps")
+    snapshot(one(spark, 1), base, "Rooms", GAP)
+    for session in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", session)
+        assert snapshot_times(spark, base, "Rooms") == [GAP]
+        found = read_snapshots(spark, base, "Rooms")
+        assert rows(asof(found, GAP)) == [(1,)]
+        assert found.selectExpr("cast(snapshot_ts AS string)").first()[0] == "2021-03-14 02:30:00.000005"
+        assert rows(read_latest(spark, base, "Rooms")) == [(1,)]
 
 
 # --- snapshots ---------------------------------------------------------------------------------------------------------
@@ -150,17 +187,43 @@ def test_snapshot_retention(spark, tmp_path):
     assert prune(spark, base, "Terms", 2) == [EARLY]
     assert rows(read_snapshots(spark, base, "Terms").select("foo")) == [(2,), (3,)]
     assert prune(spark, base, "Terms", 5) == []
+    assert snapshot_times(spark, base, "Terms") == [LAST, LATE]
+    assert snapshot_times(spark, base, "Nothing") == []
+    with pytest.raises(SnapshotError):
+        read_latest(spark, base, "Nothing")
 
 
 # --- quality -----------------------------------------------------------------------------------------------------------
 
 
 def test_shrunken(spark):
-    sizes = spark.createDataFrame([("a", 13), ("b", 12), ("c", 0), ("d", 20), ("new", 5), ("new0", 0)], "tbl_name string, size long")
-    marks = spark.createDataFrame([("a", 13), ("b", 13), ("c", 0), ("d", 13), ("gone", 7)], "tbl_name string, expected long")
+    sizes = spark.createDataFrame(
+        [("oak", 40), ("elm", 39), ("fir", 0), ("ash", 70), ("new", 5), ("bare", 0), (None, 5)], "tbl_name string, size long"
+    )
+    marks = spark.createDataFrame(
+        [("oak", 40), ("elm", 41), ("fir", 0), ("ash", 60), ("gone", 7), (None, 6)], "tbl_name string, expected long"
+    )
     findings, baseline = shrunken(sizes, marks)
-    assert rows(findings) == [("b", 12, 13), ("c", 0, 0), ("new0", 0, 0)]
-    assert rows(baseline) == [("a", 13), ("b", 13), ("c", 0), ("d", 20), ("gone", 7), ("new", 5), ("new0", 0)]
+    assert rows(findings) == [("bare", 0, 0), ("elm", 39, 41), ("fir", 0, 0), (None, 5, 6)]
+    for _ in range(2):
+        # Marks do not multiply, however often they are renewed.
+        found = rows(baseline)
+        assert found == [("ash", 70), ("bare", 0), ("elm", 41), ("fir", 0), ("gone", 7), ("new", 5), ("oak", 40), (None, 6)]
+        baseline = shrunken(sizes, baseline)[1]
+
+
+def test_health(spark):
+    present = spark.createDataFrame([("oak",), ("elm",)], "tbl_name string")
+    sizes = spark.createDataFrame([("oak", 4)], "tbl_name string, size long")
+    marks = spark.createDataFrame([("oak", 5)], "tbl_name string, expected long")
+    lines = spark.createDataFrame(
+        [("b.log", datetime(2021, 1, 2), "an ERROR here"), ("a.log", datetime(2021, 1, 1), "ERROR before")],
+        "file string, file_time timestamp_ntz, line string",
+    )
+    assert rows(health_findings(present, ["oak", "yew"], sizes, marks, lines)) == [
+        ("log", "b.log", "an ERROR here"), ("missing", "yew", ""), ("shrunken", "oak", "4 of 5"),
+    ]
+    assert health_findings(present, ["oak"], sizes, sizes.toDF("tbl_name", "expected"), lines.limit(0)).isEmpty()
 
 
 def test_stale_is_strict(spark):
@@ -178,9 +241,9 @@ def test_log_errors(spark, tmp_path):
 
     (tmp_path / "old.log").write_text("ERROR of old\n")
     os.utime(tmp_path / "old.log", (1_000_000, 1_000_000))
-    (tmp_path / "new.log").write_text("line 1 is without error.\nline 2 is an ERROR.\nline 3 is fine\nERROR in line 4\n")
+    (tmp_path / "new.log").write_text("no error so far\nhere an ERROR shows\nall is well\nERROR at the end\n")
     found = log_errors(read_log_lines(spark, str(tmp_path)))
-    assert rows(found) == [("new.log", "ERROR in line 4"), ("new.log", "line 2 is an ERROR.")]
+    assert rows(found) == [("new.log", "ERROR at the end"), ("new.log", "here an ERROR shows")]
     (tmp_path / "newer.log").write_text("fine\n")
     os.utime(tmp_path / "newer.log", (4_000_000_000, 4_000_000_000))
     assert rows(log_errors(read_log_lines(spark, str(tmp_path)))) == []

@@ -5,17 +5,16 @@ from conftest import rows
 from lms import BIG
 
 from coursemart.sinks import write_table
-from coursemart.sources import LmsSource, read_raw, read_text_lines, split_lines
+from coursemart.sources import LmsSource, clean_zero_dates, read_raw, read_text_lines, split_lines, unreadable_values
+from coursemart.sources.raw import raw_schema
 
 
 def test_raw_tables_from_a_folder(spark, tmp_path):
-    # Everything as text, as a dump delivers it: zero dates and other non-dates become NULL, large ids stay exact.
+    # Everything as text, as a dump delivers it: zero dates become NULL, large ids stay exact.
+    schema = "id string, name string, date_start string, date_end string, extra string"
     terms = spark.createDataFrame(
-        [
-            (str(BIG + 3), "Fall 2015", "2015-09-01 00:00:00", "0000-00-00 00:00:00", "unused"),
-            ("x", None, "soon", None, "unused"),
-        ],
-        "id string, name string, date_start string, date_end string, extra string",
+        [(str(BIG + 3), "Fall 2015", "2015-09-01 00:00:00", "0000-00-00 00:00:00", "unused"), (None, None, None, None, "x")],
+        schema,
     )
     terms.write.parquet(str(tmp_path / "enrollment_term_dim"))
     source = LmsSource.from_folder(spark, str(tmp_path))
@@ -28,6 +27,16 @@ def test_raw_tables_from_a_folder(spark, tmp_path):
         source["no_such_table"]
 
 
+def test_text_of_another_type_is_an_error(spark):
+    schema = "id string, name string, date_start string, date_end string"
+    bad = spark.createDataFrame([("12x", "a", "2020-13-45", None), ("12x", "b", "2020-01-01", "0000-00-00")], schema)
+    declared = raw_schema("enrollment_term_dim")
+    with pytest.raises(Exception, match="12x|2020-13-45"):
+        clean_zero_dates(bad, declared).collect()
+    assert rows(unreadable_values(bad, declared)) == [("date_start", "2020-13-45", 1), ("id", "12x", 2)]
+    assert unreadable_values(bad.where("false"), declared).isEmpty()
+
+
 def test_raw_tables_from_csv_and_catalog(spark, tmp_path):
     (tmp_path / "user_dim.csv").write_text("id,name\n35910000000000001,Ann\n,Bob\n")
     found = read_raw(spark, "user_dim", str(tmp_path / "user_dim.csv"), "csv", header="true")

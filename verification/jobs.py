@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from coursemart.jobs import (
     append_load_log,
     asof,
+    health_findings,
     latest,
     load_log_history,
     load_log_latest,
@@ -243,9 +244,32 @@ def check_stale(spark: SparkSession, sf: str) -> DataFrame:
         WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) AND event_type = 'error'""",
 )
 def check_log_errors(spark: SparkSession, sf: str) -> DataFrame:
+    return log_errors(_event_log(spark, sf))
+
+
+def _event_log(spark: SparkSession, sf: str) -> DataFrame:
+    """One log per day, one line per event."""
     logs = table(spark, sf, "events").selectExpr(
         "date_format(ts, 'yyyy-MM-dd') AS day",
         "CAST(CAST(ts AS date) AS timestamp_ntz) AS day_time",
         "CASE event_type WHEN 'error' THEN 'an ERROR of user ' ELSE event_type || ' by user ' END || user_id AS body",
     )
-    return log_errors(log_file_lines(logs, "day", "day_time", "body"))
+    return log_file_lines(logs, "day", "day_time", "body")
+
+
+@check(
+    "health_findings",
+    f"""{_SIZES}
+        SELECT 'missing' AS kind, t AS subject, '' AS detail FROM (SELECT unnest(['1-URGENT', '5-LOW', 'Rooms', 'Plans']) AS t) AS r
+         WHERE t NOT IN (SELECT o_orderpriority FROM orders)
+        UNION ALL
+        SELECT 'shrunken', s.tbl_name, s.size || ' of ' || coalesce(b.expected, s.size)
+          FROM sizes s LEFT JOIN baseline b ON s.tbl_name = b.tbl_name WHERE s.size < b.expected OR s.size = 0
+        UNION ALL
+        SELECT 'log', strftime(ts, '%Y-%m-%d'), 'an ERROR of user ' || user_id FROM events
+         WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) AND event_type = 'error'""",
+)
+def health_findings_check(spark: SparkSession, sf: str) -> DataFrame:
+    present = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("tbl_name")).distinct()
+    required = ["1-URGENT", "5-LOW", "Rooms", "Plans"]
+    return health_findings(present, required, *_sizes(spark, sf), _event_log(spark, sf))

@@ -36,7 +36,7 @@ STEPS = {
     "Accounts": "SELECT id AS account_id, name AS account_name FROM account_dim",
     "Terms": "SELECT DISTINCT id AS term_id, name AS term_name, date_start AS start_date FROM enrollment_term_dim",
     "AllUsers": f"""
-        SELECT CAST(row_number() OVER (ORDER BY e.id) AS INTEGER) AS seq_num, e.user_id, u.name, e.type,
+        SELECT CAST(row_number() OVER (ORDER BY e.id) AS BIGINT) AS seq_num, e.user_id, u.name, e.type,
                CASE e.type WHEN 'TeacherEnrollment' THEN 'instructor' WHEN 'StudentEnrollment' THEN 'student'
                            WHEN 'TaEnrollment' THEN 'TA' WHEN 'DesignerEnrollment' THEN 'designer'
                            WHEN 'ObserverEnrollment' THEN 'observer' END AS role,
@@ -59,13 +59,13 @@ STEPS = {
           FROM courses_base b LEFT JOIN enrollment_dim e ON b.course_id = e.course_id GROUP BY b.course_id""",
     "Courses": f"""
         SELECT b.account_id, b.course_id, b.enrollment_term_id, q.term_name, a.name AS account_name, b.course_name,
-               CAST(NULL AS INTEGER) AS stanford_course_id, b.code, q.date_end, left(q.name, 16) AS quarter_name_canvas,
+               CAST(NULL AS INTEGER) AS stanford_course_id, b.code, q.date_end, q.name AS quarter_name_canvas,
                CAST(NULL AS VARCHAR) AS quarter_name_peoplesoft, CAST(NULL AS VARCHAR) AS acad_year,
                CAST(NULL AS VARCHAR) AS course_code, CAST(NULL AS VARCHAR) AS subject,
                CAST(NULL AS INTEGER) AS units_max, CAST(NULL AS VARCHAR) AS ger_fulfillment,
                CAST(NULL AS VARCHAR) AS acad_group, CAST(NULL AS VARCHAR) AS department,
                CAST(NULL AS VARCHAR) AS acad_career, CAST(NULL AS VARCHAR) AS instructors,
-               CAST(n.enrollment AS INTEGER) AS enrollment, b.workflow_state
+               CAST(n.enrollment AS BIGINT) AS enrollment, b.workflow_state
           FROM courses_base b
           LEFT JOIN {first_row("term_names", "id", "name, date_end, term_name")} q ON b.enrollment_term_id = q.id
           LEFT JOIN {first_row("account_dim", "id", "name")} a ON b.account_id = a.id
@@ -124,7 +124,7 @@ STEPS = {
     "first_terms": f"SELECT term_id, term_name FROM {first_row('Terms', 'term_id', 'term_name')} AS x",
     "Modules": """
         SELECT d.id, d.course_id, c.course_name, d.name AS module_name, f.account_id, f.enrollment_term_id,
-               left(t.term_name, 20) AS term_name, f.wiki_id, w.title AS wiki_title
+               t.term_name AS term_name, f.wiki_id, w.title AS wiki_title
           FROM module_dim d LEFT JOIN module_fact f ON d.id = f.module_id
           LEFT JOIN course_names c ON d.course_id = c.course_id
           LEFT JOIN wiki_titles w ON f.wiki_id = w.id
@@ -140,7 +140,7 @@ STEPS = {
          WHERE d.workflow_state = 'completed' GROUP BY d.module_id""",
     "ModuleItems": """
         SELECT i.id, i.title, i.course_id, i.module_id, i.content_type, r.requirement_type, r.completion_status,
-               CAST(s.n AS INTEGER) AS num_started, CAST(c.n AS INTEGER) AS num_completed
+               CAST(s.n AS BIGINT) AS num_started, CAST(c.n AS BIGINT) AS num_completed
           FROM module_item_dim i
           LEFT JOIN module_progression_completion_requirement_dim r ON i.id = r.module_item_id
           LEFT JOIN started_counts s ON i.module_id = s.module_id
@@ -148,7 +148,7 @@ STEPS = {
          WHERE i.workflow_state = 'active'""",
     "Wikis": """
         SELECT f.wiki_id, f.account_id, f.parent_course_id AS course_id, c.course_name, f.enrollment_term_id,
-               left(t.term_name, 30) AS term_name, d.title AS wiki_title, left(d.parent_type, 10) AS wiki_type
+               t.term_name AS term_name, d.title AS wiki_title, d.parent_type AS wiki_type
           FROM wiki_fact f LEFT JOIN wiki_dim d ON f.wiki_id = d.id
           LEFT JOIN course_names c ON f.parent_course_id = c.course_id
           LEFT JOIN first_terms t ON f.enrollment_term_id = t.term_id""",
@@ -212,7 +212,7 @@ def _assignments(weight_key: str) -> str:
 
 def _messages(author_key: str) -> str:
     return f"""
-        SELECT left(b.title, 256) AS disc_title, e.user_id AS disc_author_id, r.type AS disc_author_role,
+        SELECT b.title AS disc_title, e.user_id AS disc_author_id, r.type AS disc_author_role,
                b.posted_at AS disc_posted_at, b.course_id AS disc_course_id, b.course_name AS disc_course_name,
                b.course_code AS disc_course_code, b.course_start AS disc_course_start_date, b.topic_id AS disc_id,
                b.type AS disc_type
@@ -224,12 +224,12 @@ def _messages(author_key: str) -> str:
 
 _TOPICS = f"""
     SELECT b.topic_id AS disc_topic_id, f.user_id AS disc_topic_author_id, u.name AS disc_topic_author_name,
-           u.role AS disc_topic_author_role, left(b.title, 256) AS disc_topic_title,
+           u.role AS disc_topic_author_role, b.title AS disc_topic_title,
            b.enrollment_term_id AS course_enrollment_term_id, b.account_id AS course_account_id,
            f.message_length AS disc_topic_msg_length, b.posted_at AS disc_topic_posted_at, b.course_id, b.course_name,
            b.course_code, c.course_code AS catnbr, b.course_start AS disc_topic_course_start_date,
            coalesce(b.type, 'Discussion') AS disc_topic_type, 
-           CAST(n.num_entries AS INTEGER) AS disc_topic_num_contribs
+           CAST(n.num_entries AS BIGINT) AS disc_topic_num_contribs
       FROM topic_base b
       LEFT JOIN {first_row("discussion_topic_fact", "discussion_topic_id", "user_id, message_length")} f
         ON b.topic_id = f.discussion_topic_id
