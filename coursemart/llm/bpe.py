@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import encode_by_unit, map_texts
+from coursemart.llm.common import Memo, encode_by_unit, map_texts
 
 #: The transducer starts anew beyond so many states.
-MAX_STATES = 200_000
+MAX_STATES = 120_000
+#: And a worker's memo of units beyond so many. States, pairs and memo take some 200 MB together.
+MEMO_UNITS = 200_000
 #: Ids decoded at a time.
 CHUNK = 1 << 16
 
@@ -98,7 +100,7 @@ class Transducer:
         pair = left << 32 | right
         known = self.stable.get(pair)
         if known is None:
-            if len(self.stable) > 4 * self.max_states:
+            if len(self.stable) > 2 * self.max_states:
                 self.stable.clear()
             known = self.stable[pair] = self._undisturbed(self.edge(left, 1), self.edge(right, 0))
         return known
@@ -169,7 +171,7 @@ class Encoder:
 
         self.pieces = regex.compile(pattern).findall
         self.transducer = Transducer(ranks, max_states)
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(MEMO_UNITS)
 
     def text(self, text: str) -> bytes:
         encode = self.transducer.encode

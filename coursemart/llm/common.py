@@ -104,28 +104,45 @@ def units(text: str) -> list[str] | None:
     return text.replace("\n", " \n").split(" ")
 
 
+class Memo:
+    """What units were encoded to, in two generations: when the young one holds half of ``limit``, it becomes the old one, from which
+    units that are met again come back; the others are forgotten with the next change."""
+
+    def __init__(self, limit: int = MEMO_UNITS):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.half = limit // 2
+
+    def missing(self, units_: set[str]) -> list[str]:
+        """The units that neither generation knows; the others are in the young one afterwards."""
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        new = units_.difference(self.young)
+        for unit in [u for u in new if u in self.old]:
+            self.young[unit] = self.old[unit]
+            new.discard(unit)
+        return list(new)
+
+
 def encode_by_unit(
     text: str,
-    memo: dict[str, bytes],
+    memo: Memo,
     encode_units: Callable[[list[str]], list[bytes]],
     encode_text: Callable[[str], bytes],
 ) -> bytes:
     """The encoding of a whole text, of which each unit is encoded when first met and looked up later.
 
-    ``memo`` belongs to one encoder and starts anew when full. Texts with other blanks go to ``encode_text``.
+    ``memo`` belongs to one encoder. Texts with other blanks go to ``encode_text``.
     """
     parts = units(text)
     if parts is None:
         return encode_text(text)
     first = encode_text(parts[0])
     del parts[0]
-    new = list(set(parts).difference(memo))
-    if len(memo) + len(new) > MEMO_UNITS:
-        memo.clear()
-        new = list(set(parts))
+    new = memo.missing(set(parts))
     if new:
-        memo.update(zip(new, encode_units([u if u[0] == "\n" else " " + u for u in new]), strict=True))
-    return first + b"".join(map(memo.__getitem__, parts))
+        memo.young.update(zip(new, encode_units([u if u[0] == "\n" else " " + u for u in new]), strict=True))
+    return first + b"".join(map(memo.young.__getitem__, parts))
 
 
 def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import encode_by_unit, file_system, ship, slices
+from coursemart.llm.common import Memo, encode_by_unit, file_system, ship, slices
 
 BUCKET_KEYS = 1024
 LEVELS = 24
@@ -65,7 +65,7 @@ def text_encoder(tokenizer_json: str, width: str) -> Callable[[str], bytes]:
         packed = ids.tobytes()
         return [packed[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
-    memo: dict[str, bytes] = {}
+    memo = Memo()
     return lambda text: encode_by_unit(text, memo, joined, whole)
 
 
