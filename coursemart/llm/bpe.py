@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from coursemart.llm.common import Memo, encode_by_unit, map_texts
 
 #: The transducer starts anew beyond so many states.
-MAX_STATES = 120_000
-#: And a worker's memo of units beyond so many. States, pairs and memo take some 200 MB together.
-MEMO_UNITS = 200_000
+MAX_STATES = 160_000
+#: And a worker's memo of units beyond so many. States, pairs and memo take some 270 MB together.
+MEMO_UNITS = 300_000
 #: Ids decoded at a time.
 CHUNK = 1 << 16
 
