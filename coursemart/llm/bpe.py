@@ -166,12 +166,14 @@ class Transducer:
 class Encoder:
     """Whole texts to packed 32-bit ids: the pattern's matches go through the transducer one by one."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES):
+    def __init__(
+        self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, memo_units: int = MEMO_UNITS
+    ):
         import regex
 
         self.pieces = regex.compile(pattern).findall
         self.transducer = Transducer(ranks, max_states)
-        self.memo = Memo(MEMO_UNITS)
+        self.memo = Memo(memo_units)
 
     def text(self, text: str) -> bytes:
         encode = self.transducer.encode
@@ -192,12 +194,12 @@ def decoded(ids: np.ndarray, table: list[bytes]) -> Iterator[str]:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(lines: bytes, pattern: str) -> Encoder:
+def _encoder(lines: bytes, pattern: str, *bounds: int) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    key = (hash(lines), pattern)
+    key = (hash(lines), pattern, bounds)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(read_ranks(lines), pattern)
+        _encoders[key] = Encoder(read_ranks(lines), pattern, *bounds)
     return _encoders[key]
 
 
@@ -206,16 +208,20 @@ def _with_schema(df: DataFrame, keep: Iterable[str], name: str, kind: str) -> st
     return ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"`{name}` {kind}"])
 
 
-def encode(df: DataFrame, text: str, ranks: bytes, pattern: str, keep: list[str], name: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, text: str, ranks: bytes, pattern: str, keep: list[str], name: str = "ids",
+    max_states: int = MAX_STATES, memo_units: int = MEMO_UNITS,
+) -> DataFrame:
     """Columns ``keep`` and the ids of ``text``, packed as little-endian unsigned 32-bit integers.
 
-    ``ranks`` holds the lines of a rank file, ``pattern`` splits texts before the merges.
+    ``ranks`` holds the lines of a rank file, ``pattern`` splits texts before the merges. ``max_states`` and
+    ``memo_units`` bound a worker's memory (about 1 kB and 0.2 kB each).
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _encoder(shared.value, pattern)
+        encoder = _encoder(shared.value, pattern, max_states, memo_units)
         packed = [encoder(x or "") for x in batch.column("_text").to_pylist()]
         columns = [batch.column(c) for c in keep]
         return pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=[*keep, name])

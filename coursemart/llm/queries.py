@@ -94,12 +94,12 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
-    """Encode every text, decode its ids, and digest both."""
+def token_digests(docs: DataFrame, **bounds: int) -> DataFrame:
+    """Encode every text, decode its ids, and digest both; ``bounds`` go to ``bpe.encode``."""
     import public_tokenizers
 
     ranks = Path(vocabulary("byte_bpe_50k.tiktoken")).read_bytes()
-    encoded = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"])
+    encoded = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"], **bounds)
     digested = encoded.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
