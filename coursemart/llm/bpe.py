@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 from coursemart.llm.common import Memo, encode_by_unit, map_texts
 
 #: The transducer starts anew beyond so many states.
-MAX_STATES = 160_000
-#: And a worker's memo of units beyond so many. States, pairs and memo take some 270 MB together.
-MEMO_UNITS = 300_000
+MAX_STATES = 200_000
+#: And a worker's memo of units beyond so many. States, pairs and memo take some 350 MB together.
+MEMO_UNITS = 500_000
 #: Ids decoded at a time.
 CHUNK = 1 << 16
 
@@ -135,12 +136,14 @@ class Transducer:
         if complete is None:
             raise ValueError(f"byte {byte} is not in the vocabulary")
         paths.append(complete)
-        common = 0
-        shortest = min(len(p[2]) for p in paths)
-        while common < shortest and len({p[2][common] for p in paths}) == 1:
-            common += 1
-        out = paths[0][2][:common]
-        key = tuple((n, last, pending[common:]) for n, last, pending in paths)
+        # The first path has the longest token under way and seldom any pending ones; then nothing is common to all.
+        first, common = paths[0][2], 0
+        if first:
+            shortest = min(len(p[2]) for p in paths)
+            while common < shortest and all(p[2][common] == first[common] for p in paths):
+                common += 1
+        key = tuple((n, last, pending[common:]) for n, last, pending in paths) if common else tuple(paths)
+        out = first[:common]
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
@@ -177,7 +180,8 @@ class Encoder:
 
     def text(self, text: str) -> bytes:
         encode = self.transducer.encode
-        return np.array([i for piece in self.pieces(text) for i in encode(piece.encode())], dtype="<u4").tobytes()
+        ids = [i for piece in self.pieces(text) for i in encode(piece.encode())]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
         return encode_by_unit(text, self.memo, lambda new: [self.text(u) for u in new], self.text)
@@ -203,34 +207,53 @@ def _encoder(lines: bytes, pattern: str, *bounds: int) -> Encoder:
     return _encoders[key]
 
 
-def _with_schema(df: DataFrame, keep: Iterable[str], name: str, kind: str) -> str:
+_tables: dict[int, list[bytes]] = {}
+
+
+def _table(lines: bytes) -> list[bytes]:
+    """The bytes of each id, kept once per Python worker."""
+    key = hash(lines)
+    if key not in _tables:
+        _tables.clear()
+        by_id = {i: t for t, i in read_ranks(lines).items()}
+        _tables[key] = [by_id[i] for i in range(len(by_id))]
+    return _tables[key]
+
+
+def _text_of(packed: bytes | None, table: list[bytes]) -> str:
+    return "".join(decoded(np.frombuffer(packed or b"", dtype="<u4"), table))
+
+
+def _with_schema(df: DataFrame, keep: Iterable[str], **added: str) -> str:
     kinds = dict(df.dtypes)
-    return ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"`{name}` {kind}"])
+    return ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{name}` {kind}" for name, kind in added.items())])
 
 
 def encode(
     df: DataFrame, text: str, ranks: bytes, pattern: str, keep: list[str], name: str = "ids",
-    max_states: int = MAX_STATES, memo_units: int = MEMO_UNITS,
+    max_states: int = MAX_STATES, memo_units: int = MEMO_UNITS, decoded_name: str | None = None,
 ) -> DataFrame:
     """Columns ``keep`` and the ids of ``text``, packed as little-endian unsigned 32-bit integers.
 
     ``ranks`` holds the lines of a rank file, ``pattern`` splits texts before the merges. ``max_states`` and
-    ``memo_units`` bound a worker's memory (about 1 kB and 0.2 kB each).
+    ``memo_units`` bound a worker's memory (about 1 kB and 0.2 kB each). With ``decoded_name``, a column of that name holds what the
+    packed ids decode to, made by the same worker: a second step would need a second worker beside each.
     """
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(ranks)
+    shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = _encoder(shared.value, pattern, max_states, memo_units)
         packed = [encoder(x or "") for x in batch.column("_text").to_pylist()]
-        columns = [batch.column(c) for c in keep]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=[*keep, name])
+        columns, names = [*(batch.column(c) for c in keep), pa.array(packed, pa.binary())], [*keep, name]
+        if decoded_name:
+            table = _table(shared.value)
+            columns.append(pa.array([_text_of(x, table) for x in packed], pa.string()))
+            names.append(decoded_name)
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = df.select(*keep, F.col(text).alias("_text"))
-    return map_texts(rows, "_text", _with_schema(df, keep, name, "binary"), run)
-
-
-_tables: dict[int, list[bytes]] = {}
+    added = {name: "binary", **({decoded_name: "string"} if decoded_name else {})}
+    return map_texts(rows, "_text", _with_schema(df, keep, **added), run)
 
 
 def decode(df: DataFrame, ids: str, ranks: bytes, keep: list[str], name: str = "text") -> DataFrame:
@@ -238,15 +261,10 @@ def decode(df: DataFrame, ids: str, ranks: bytes, keep: list[str], name: str = "
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key = hash(shared.value)
-        if key not in _tables:
-            _tables.clear()
-            by_id = {i: t for t, i in read_ranks(shared.value).items()}
-            _tables[key] = [by_id[i] for i in range(len(by_id))]
-        table = _tables[key]
-        texts = ["".join(decoded(np.frombuffer(x or b"", dtype="<u4"), table)) for x in batch.column("_ids").to_pylist()]
+        table = _table(shared.value)
+        texts = [_text_of(x, table) for x in batch.column("_ids").to_pylist()]
         columns = [batch.column(c) for c in keep]
         return pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*keep, name])
 
     rows = df.select(*keep, F.col(ids).alias("_ids"))
-    return map_texts(rows, "_ids", _with_schema(df, keep, name, "string"), run)
+    return map_texts(rows, "_ids", _with_schema(df, keep, **{name: "string"}), run)

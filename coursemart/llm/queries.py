@@ -99,16 +99,14 @@ def token_digests(docs: DataFrame, **bounds: int) -> DataFrame:
     import public_tokenizers
 
     ranks = Path(vocabulary("byte_bpe_50k.tiktoken")).read_bytes()
-    encoded = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"], **bounds)
-    digested = encoded.select(
+    encoded = bpe.encode(
+        docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"], decoded_name="decoded", **bounds
+    )
+    return encoded.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        "ids",
-    )
-    decoded = bpe.decode(digested, "ids", ranks, ["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -264,6 +264,10 @@ def test_bpe_equals_tiktoken(spark, docs):
     for row in back:
         assert np.frombuffer(bytes(row.packed), "<u4").tolist() == plain.encode_ordinary(row.text or "")
         assert row.decoded == (row.text or "")
+    at_once = bpe.encode(docs, "text", lines, public_tokenizers.PATTERN, ["doc_id", "text"], decoded_name="decoded")
+    for row in at_once.collect():
+        assert np.frombuffer(bytes(row.ids), "<u4").tolist() == plain.encode_ordinary(row.text or "")
+        assert row.decoded == (row.text or "")
 
 
 def test_decoding_carries_unfinished_characters(monkeypatch):
