@@ -5,7 +5,8 @@ encodings of all prefixes of a piece are paths over the trie of the vocabulary,
 if the pair is stable under the merges; for each prefix there is one such path. The transducer keeps the paths that may still be
 extended: where each stands in the trie, its last token, and the tokens it has that are not yet common to all. Reading a byte moves
 them on; tokens that all have in common are emitted. No path reaches back further than the longest token, which bounds
-the lookahead. States and moves are made when first met and dropped together when there are too many.
+the lookahead. States and moves are made when first met and stored up to a bound; beyond it the same steps are taken without storing, and
+when that has been done often, the stored states are dropped together.
 
 Decoding joins the bytes of ids and feeds them to an incremental UTF-8 decoder, which carries an unfinished character from
 one chunk to the next; bytes that are no UTF-8 become U+FFFD.
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 
 from coursemart.llm.common import Memo, encode_by_unit, map_texts
 
-#: The transducer starts anew beyond so many states.
+#: The transducer stores no more than so many states; what leads beyond them is worked out each time.
 MAX_STATES = 200_000
+#: After so many steps per stored state that were worked out, the states are dropped and those of the texts at hand are stored.
+RENEW = 8
 #: And a worker's memo of units beyond so many. States, pairs and memo take some 350 MB together.
 MEMO_UNITS = 500_000
 #: Ids decoded at a time.
@@ -39,6 +42,10 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines()) if token}
 
 
+#: Of each path: its node in the trie, its last token, and its tokens that are not yet common to all.
+Paths = tuple[tuple[int, int, tuple[int, ...]], ...]
+
+
 class Transducer:
     """Bytes of one piece to token ids."""
 
@@ -65,11 +72,12 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        start = ((0, -1, ()),)
+        start: Paths = ((0, -1, ()),)
         self.number = {start: 0}
         self.states = [start]
         self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
         self.rest: list[tuple[int, ...]] = [()]
+        self.unstored = 0
 
     def parts_of(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made ``token``: BPE by its definition on its bytes, up to the last merge."""
@@ -121,10 +129,11 @@ class Transducer:
             else:
                 j += 1
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, state: Paths, byte: int) -> tuple[Paths, tuple[int, ...]]:
+        """The paths after one more byte, and the tokens that all of them now share."""
         paths = []
         complete = None
-        for node, last, pending in self.states[state]:
+        for node, last, pending in state:
             node = self.child.get(node << 8 | byte)
             if node is None:
                 continue
@@ -142,10 +151,17 @@ class Transducer:
             shortest = min(len(p[2]) for p in paths)
             while common < shortest and all(p[2][common] == first[common] for p in paths):
                 common += 1
-        key = tuple((n, last, pending[common:]) for n, last, pending in paths) if common else tuple(paths)
-        out = first[:common]
+        if common:
+            return tuple((n, last, pending[common:]) for n, last, pending in paths), first[:common]
+        return tuple(paths), ()
+
+    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]] | None:
+        """A move that is not stored yet, stored from now on; None if it leads to a new state and no more are kept."""
+        key, out = self._step(self.states[state], byte)
         number = self.number.get(key)
         if number is None:
+            if len(self.states) >= self.max_states:
+                return None
             number = self.number[key] = len(self.states)
             self.states.append(key)
             self.moves.append({})
@@ -154,17 +170,29 @@ class Transducer:
         return move
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.max_states:
+        if self.unstored > RENEW * self.max_states:
             self._reset()
         moves, state, ids = self.moves, 0, []
-        for byte in piece:
+        for at, byte in enumerate(piece):
             move = moves[state].get(byte) or self._move(state, byte)
+            if move is None:
+                return self._without_storing(piece, at, state, ids)
             state, out = move
             if out:
                 ids.extend(out)
         ids.extend(self.rest[state])
         return ids
 
+    def _without_storing(self, piece: bytes, at: int, state: int, ids: list[int]) -> list[int]:
+        """The rest of a piece from ``at``, by the same steps."""
+        self.unstored += len(piece) - at
+        paths = self.states[state]
+        for byte in piece[at:]:
+            paths, out = self._step(paths, byte)
+            ids.extend(out)
+        ids.extend(paths[-1][2])
+        return ids
+
 
 class Encoder:
     """Whole texts to packed 32-bit ids: the pattern's matches go through the transducer one by one."""
