@@ -7,7 +7,8 @@ are measured on the original vectors in double precision. Each query scans its n
 there is where its other lists start from.
 
 Lists are the cells of centroids fitted to a bounded sample; every vector is in one. A list is searched in parts of about
-``PART`` vectors, dealt by a hash of the id, so that a list with any share of the vectors spreads over the cluster.
+``PART`` vectors, dealt by a hash of the id, so that a list with any share of the vectors spreads over the cluster; queries are dealt
+to blocks of about ``QUERY_PART`` in the same way, and each part meets each block in a task of its own.
 
 Defined cases: vectors that are NULL, all zero, of another length than most, or hold a NULL or non-finite component take no part, and
 neither do rows without an id. Rows that repeat a query's id count as one query (its least vector) and never as its
@@ -28,6 +29,8 @@ from coursemart.session import materialise
 
 BLOCK = 16
 PART = 2048
+#: Queries that meet a part of a list in one task, about.
+QUERY_PART = 32_768
 #: Vectors that the centroids are fitted to, at most.
 SAMPLE = 16_384
 #: Share of lists that a query scans, and the fewest.
@@ -202,13 +205,16 @@ def search(
     vectors = placed.join(parts, "list").withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) AS int)"))
     asked = sound.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     asked = materialise(asked.mapInArrow(_to_lists(centroids, d, probes), shared), "queries")
+    blocks = max(1, -(-asked.count() // QUERY_PART))
+    vectors = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def over(queries: DataFrame) -> DataFrame:
         spread = queries.join(parts, "list").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
         return (
-            spread.select("id", "v", "bound", "list", "part")
-            .groupBy("list", "part")
-            .cogroup(vectors.select("id", "v", "list", "part").groupBy("list", "part"))
+            spread.withColumn("block", F.expr(f"cast(pmod(xxhash64(id), {blocks}) AS int)"))
+            .select("id", "v", "bound", "list", "part", "block")
+            .groupBy("list", "part", "block")
+            .cogroup(vectors.select("id", "v", "list", "part", "block").groupBy("list", "part", "block"))
             .applyInArrow(_search(d, k), "query_id long, id long, square double")
         )
 
