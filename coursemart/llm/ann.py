@@ -34,7 +34,7 @@ QUERY_PART = 32_768
 #: Vectors that the centroids are fitted to, at most.
 SAMPLE = 16_384
 #: Share of lists that a query scans, and the fewest.
-PROBE_SHARE, PROBE_LEAST = 0.55, 24
+PROBE_SHARE, PROBE_LEAST = 0.65, 32
 #: Standard errors by which a partial distance has to exceed the bound.
 ERRORS = 2.1
 SEED = 11

@@ -253,11 +253,13 @@ def test_bpe_equals_tiktoken(spark, docs):
         lines = f.read()
     ranks = bpe.read_ranks(lines)
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN, max_states=500)
+    encoders = [bpe.Encoder(ranks, public_tokenizers.PATTERN, max_states=n) for n in (30, 500)]
     alphabet = "abcdefgh THE ing  \n\n\t\r éß漢🙂'sll've123---== \x00\x1c　"
     for _ in range(1500):
         text = "".join(RNG.choice(alphabet) for _ in range(RNG.randint(0, 50)))
-        assert np.frombuffer(encoder(text), "<u4").tolist() == plain.encode_ordinary(text)
+        for encoder in encoders:
+            assert np.frombuffer(encoder(text), "<u4").tolist() == plain.encode_ordinary(text)
+            assert len(encoder.transducer.states) <= encoder.transducer.max_states
     encoded = bpe.encode(docs, "text", lines, public_tokenizers.PATTERN, ["doc_id", "text"], "packed")
     back = bpe.decode(encoded, "packed", lines, ["doc_id", "text", "packed"], "decoded").collect()
     assert len(back) == docs.count()
@@ -279,6 +281,7 @@ def test_decoding_carries_unfinished_characters(monkeypatch):
 
 def test_neighbours(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART", 64)
+    monkeypatch.setattr(ann, "QUERY_PART", 8)
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((12, 24)) * 3
     vectors = centres[rng.integers(0, 12, 1500)] + rng.standard_normal((1500, 24))
