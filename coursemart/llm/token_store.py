@@ -48,8 +48,8 @@ def text_encoder(tokenizer_json: str, width: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
-    # A byte-level vocabulary writes each byte as one character, so the length of an entry is its length in bytes.
+    # A byte-level vocabulary writes each byte as one character, so the length of an entry is its length in bytes; so it is for an
+    # added token in plain ASCII, which the library finds in a text by default.
     n_bytes = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
     for token, i in tokenizer.get_vocab().items():
         n_bytes[i] = len(token)

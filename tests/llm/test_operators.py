@@ -87,6 +87,19 @@ def test_token_store(spark, docs):
     assert token_store.locate(spark.range(10**6, 10**6 + 500).withColumnRenamed("id", "doc_id"), path, "doc_id").count() == 0
 
 
+def test_token_store_finds_added_tokens_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    name = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(name)
+    with open(name, encoding="utf-8") as f:
+        encode = token_store.text_encoder(f.read(), "<u2")
+    end = "<|endoftext|>"
+    assert tokenizer.encode(end, add_special_tokens=False).ids == [50256]
+    for text in (end, f"a b {end} c d", f"a b{end}c d {end}{end}\nx", f"one\n{end} two", f"{end} a\n b", f"one <|endof text|> {end[:-1]} b {end}"):
+        assert np.frombuffer(encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_perfect_slots_are_minimal_and_perfect():
     keys = np.random.default_rng(0).choice(1 << 40, 5000, replace=False).astype(np.uint64)
     levels, leftover = token_store.perfect_levels(keys)
