@@ -1,10 +1,15 @@
-"""Mixing sources to target weights by proportionate-fair scheduling, in DataFrame and SQL functions only.
+"""Mixing sources to target weights by proportionate-fair windows, in DataFrame and SQL functions only.
 
-Each source's documents are dealt to blocks of ``block`` documents, in an order by the digest of the id. A round has ``slots`` slots,
-of which a source gets ``n``, its target weight times ``slots`` (largest remainders, one at least). Block ``i`` of a source (from 0)
-is released at ``floor(i * slots / n)`` and due at ``ceil((i + 1) * slots / n)``; each slot goes to the released block that is due first
-(ties by source). As the weights add up to one, every block gets a slot in its window, so after any number of slots a source is
-less than one block from its share. The next rounds repeat the first one.
+Each source's documents are dealt to blocks of ``block`` documents, in an order by the digest of the id. With the target weight ``w`` of
+its source (weights add up to one), block ``i`` (from 0) is released at ``floor(i / w)`` and due at ``ceil((i + 1) / w)``.
+
+A block's slot comes from a tree over the sources, each block on its own. A node deals its slots to its two children by their exact weights:
+of the first ``t``, the first child gets ``t`` times its part, rounded, and the second the others; so the slot of a child's ``i``-th block
+within the node has a closed form, and from leaf to root this gives the block's slot. Sources of about one weight (within a factor of two)
+make a balanced tree, and these trees hang on a chain, heavy ones first. A rounding is off by half a slot at most and counts for a source
+by its part of that node, which falls geometrically upwards. So after any number of slots a source stays within a bound of its share (below
+three blocks) that depends neither on the number of slots nor of sources. With up to four sources of unlike weight it is below one, and
+each slot is in the block's window; with more, a slot can be outside the window by what the bound leaves. Weights are whole multiples of ``1 / WEIGHT_UNIT``, so the slots are unique and without gaps.
 
 All documents are placed: a source that has no more blocks leaves its slots empty, and from there on the others keep their
 proportions among themselves.
@@ -25,6 +30,8 @@ from coursemart.session import materialise
 
 BLOCK = 8
 SLOTS = 200
+#: Weights are whole multiples of one part in so many; after as many slots, a weight's rounding comes to half a block.
+WEIGHT_UNIT = 1 << 40
 #: Exponent that flattens the sources' sizes to target weights.
 TEMPERATURE = 0.7
 
@@ -35,80 +42,86 @@ def tempered(sizes: DataFrame, temperature: float = TEMPERATURE) -> DataFrame:
 
 
 def slot_shares(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(source, share, slots): slots of a round for each source, by largest remainders, at least one.
-
-    A row per source throughout. With more sources than half the slots, a round has two slots per source.
-    """
-    everything = Window.partitionBy()
-    by_rest = Window.partitionBy().orderBy(F.desc("rest"), F.asc_nulls_first("source"))
-    return (
-        weights.withColumn("slots", F.greatest(F.lit(slots).cast("long"), 2 * F.count("*").over(everything)))
-        # One slot for each source; the others by weight.
-        .withColumn("open", F.col("slots") - F.count("*").over(everything))
-        .withColumn("exact", F.col("weight") / F.sum("weight").over(everything) * F.col("open"))
-        .withColumn("whole", F.floor(F.col("exact")))
-        .withColumn("rest", F.round(F.col("exact") - F.col("whole"), 9))
-        .withColumn("missing", F.col("open") - F.sum("whole").over(everything))
-        .withColumn("extra", (F.row_number().over(by_rest) <= F.col("missing")).cast("long"))
-        .select("source", (1 + F.col("whole") + F.col("extra")).alias("share"), "slots")
+    """(source, share, slots): what the exact weight of each source comes to in ``slots`` slots, not rounded."""
+    total = weights.agg(F.sum("weight").alias("_total"))
+    return weights.crossJoin(total).select(
+        "source", (F.col("weight") / F.col("_total") * slots).alias("share"), F.lit(slots).cast("long").alias("slots")
     )
 
 
-def round_schedule(shares: DataFrame) -> DataFrame:
-    """(source, nth, release, deadline, slot, share, slots): the slots of one round.
+def _whole(column: Column) -> Column:
+    return column.cast("decimal(18,0)")
 
-    Earliest deadline first, slot after slot, as one fold over the slots of a round; a round has as many rows as slots, however
-    many documents there are.
-    """
-    sources = shares.agg(
-        F.array_sort(F.collect_list(F.struct(F.col("source").isNotNull().alias("named"), "source", "share"))).alias("s"),
-        F.max("slots").cast("int").alias("slots"),
-    ).where("slots IS NOT NULL")
-
-    # state: blocks done per source, and the picks so far
-    def due(done: Column, i: Column) -> Column:
-        share = F.get(F.col("s"), i)["share"]
-        return F.ceil((done + 1) * F.col("slots") / share)
-
-    def step(state: Column, t: Column) -> Column:
-        ready = F.filter(
-            F.transform(
-                state["done"],
-                lambda n, i: F.struct(
-                    F.when(
-                        (n < F.get(F.col("s"), i)["share"]) & (F.floor(n * F.col("slots") / F.get(F.col("s"), i)["share"]) <= t),
-                        due(n, i),
-                    ).alias("due"),
-                    i.alias("i"),
-                ),
-            ),
-            lambda x: x["due"].isNotNull(),
-        )
-        pick = F.array_min(ready)["i"]
-        return F.struct(
-            F.transform(state["done"], lambda n, i: n + (i == pick).cast("int")).alias("done"),
-            F.concat(state["picks"], F.array(pick)).alias("picks"),
-        )
 
-    begin = F.struct(
-        F.transform("s", lambda x: F.lit(0)).alias("done"), F.expr("cast(array() AS array<int>)").alias("picks")
+def kind_nodes(kinds: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(kind, level, total, own, first): the nodes above each kind of sources; ``kinds`` has (kind, units), heavy sources first.
+
+    A chain whose last four kinds are a tree of two levels: there only one rounding below the root's counts, by a part below one.
+    """
+    units = [u for _, u in kinds]
+    last = max(0, len(kinds) - 4)
+    rows = []
+    for j, (kind, own) in enumerate(kinds):
+        path = []
+        if j >= last:
+            pairs = [sum(units[last + k] for k in pair if last + k < len(kinds)) for pair in ((0, 3), (1, 2))]
+            mine = int(j - last in (1, 2))
+            path = [(pairs[mine], own, int(j - last < 2)), (sum(pairs), pairs[mine], 1 - mine)]
+        else:
+            path = [(sum(units[j:]), own, 1)]
+        path += [(sum(units[i:]), sum(units[i + 1 :]), 0) for i in range(min(j, last) - 1, -1, -1)]
+        rows += [(kind, 100 + level, *node) for level, node in enumerate(path)]
+    return rows
+
+
+def tree_paths(weights: DataFrame) -> DataFrame:
+    """(source, unit, units, path): the source's weight in whole units, those of all sources, and the nodes from the source up to the root
+    as (total, own, first): the units of the node and of its child on the path, and 1 where that is the first child, else 0.
+
+    A row per source and level of the tree; no array is longer than the tree is high.
+    """
+    total = weights.agg(F.sum("weight").alias("_total"))
+    unit = F.greatest(F.lit(1).cast("long"), F.round(F.col("weight") / F.col("_total") * WEIGHT_UNIT).cast("long"))
+    sources = (
+        weights.crossJoin(total)
+        .select("source", unit.alias("unit"))
+        .withColumn("kind", F.floor(F.log2(F.lit(float(WEIGHT_UNIT)) / F.col("unit"))))
+        .withColumn("k", F.row_number().over(Window.partitionBy("kind").orderBy(F.asc_nulls_first("source"))) - 1)
     )
-    picks = F.aggregate(F.expr("sequence(0, slots - 1)"), begin, step, lambda s: s["picks"])
-    order = Window.partitionBy("i").orderBy("slot")
-    return (
-        sources.select("s", "slots", F.posexplode(picks).alias("slot", "i"))
-        .withColumn("nth", F.row_number().over(order) - 1)
-        .withColumn("share", F.get(F.col("s"), F.col("i"))["share"])
-        .select(
-            F.get(F.col("s"), F.col("i"))["source"].alias("source"),
-            "nth",
-            F.floor(F.col("nth") * F.col("slots") / F.col("share")).alias("release"),
-            F.ceil((F.col("nth") + 1) * F.col("slots") / F.col("share")).alias("deadline"),
-            F.col("slot").cast("long").alias("slot"),
-            "share",
-            F.col("slots").cast("long").alias("slots"),
-        )
+    sources = materialise(sources, "sources")
+    kinds = sources.groupBy("kind").agg(F.sum("unit").alias("units"), F.count("*").alias("m"))
+    # At most 41 rows, a kind per power of two of the unit.
+    chain = literal_rows(
+        weights.sparkSession,
+        kind_nodes([(r["kind"], r["units"]) for r in kinds.orderBy("kind").collect()]),
+        ["kind", "level", "total", "own", "first"],
+        ["long", "long", "long", "long", "int"],
     )
+    chain = chain.groupBy("kind").agg(F.collect_list(F.struct("level", "total", "own", "first")).alias("chain"))
+    everything = kinds.agg(F.sum("units").alias("units"))
+    node = Window.partitionBy("kind", "level", F.expr("shiftright(k, level)"))
+    above = Window.partitionBy("kind", "level", F.expr("shiftright(k, level + 1)"))
+    leaves = (
+        sources.join(kinds.select("kind", "m"), "kind")
+        .withColumn("level", F.explode(F.sequence(F.lit(0), F.ceil(F.log2(F.col("m").cast("double"))).cast("int"))))
+        .withColumn("own", F.sum("unit").over(node))
+        .withColumn("total", F.sum("unit").over(above))
+        .withColumn("first", 1 - F.expr("shiftright(k, level)") % 2)
+        .groupBy("source", "kind", "unit")
+        .agg(F.collect_list(F.struct(F.col("level").cast("long").alias("level"), "total", "own", "first")).alias("inner"))
+    )
+    nodes = F.filter(F.array_sort(F.concat("inner", "chain")), lambda x: x["total"] > x["own"])
+    return leaves.join(chain, "kind").crossJoin(everything).select("source", "unit", "units", nodes.alias("path"))
+
+
+def _slot(block: Column, path: Column) -> Column:
+    """The slot of a source's ``block``-th block, from leaf to root."""
+
+    def up(i: Column, node: Column) -> Column:
+        odd = (2 * i + 1).cast("decimal(19,0)") * _whole(node["total"]) - node["first"]
+        return F.call_function("div", odd, _whole(2 * node["own"])).cast("long")
+
+    return F.aggregate(path, block.cast("long"), up)
 
 
 def _in_source_order(docs: DataFrame, key: str, source: str) -> tuple[DataFrame, DataFrame]:
@@ -155,6 +168,7 @@ def mix(
     place within the block. Ordered by slot and place, the corpus is mixed; slots are unique to a block.
 
     ``weights`` maps sources to positive target weights; one that it does not name, or all without it, gets its tempered size (relative to all).
+    ``slots`` is taken for the sake of callers; as weights are not rounded to a round of slots, it changes nothing.
     """
     spark = docs.sparkSession
     ranked, sizes = _in_source_order(docs, key, source)
@@ -167,22 +181,16 @@ def mix(
         target = target.join(given, F.col("source").cast("string").eqNullSafe(F.col("s")), "left").select(
             "source", F.coalesce("given", F.col("weight") / F.lit(total)).alias("weight")
         )
-    # As many rows as a round has slots: a parameter, not a matter of the number of documents.
-    template = materialise(round_schedule(slot_shares(target, slots)), "round").withColumnRenamed("source", "_s")
+    paths = materialise(tree_paths(target), "paths").withColumnRenamed("source", "_s")
     blocked = ranked.withColumn("block", F.floor(F.col("_rank") / F.lit(block)))
-    shares = template.select(F.col("_s").alias("_t"), F.col("share").alias("_share")).distinct()
-    placed = blocked.join(F.broadcast(shares), F.col("source").eqNullSafe(F.col("_t"))).withColumn(
-        "_round", F.floor(F.col("block") / F.col("_share"))
-    )
-    placed = placed.withColumn("_nth", F.col("block") - F.col("_round") * F.col("_share"))
-    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("_nth") == F.col("nth"))
-    later = F.col("_round") * F.col("slots")
-    return placed.join(F.broadcast(template), same).select(
+    far = F.col("block").cast("decimal(19,0)"), (F.col("block") + 1).cast("decimal(19,0)")
+    unit, units = _whole(F.col("unit")), _whole(F.col("units"))
+    return blocked.join(paths, F.col("source").eqNullSafe(F.col("_s"))).select(
         *(F.col("source").alias(c) if c == source else F.col(c) for c in docs.columns),
         "block",
-        (later + F.col("release")).alias("release"),
-        (later + F.col("deadline")).alias("deadline"),
-        (later + F.col("slot")).alias("slot"),
+        F.call_function("div", far[0] * units, unit).alias("release"),
+        F.call_function("div", far[1] * units + unit - 1, unit).alias("deadline"),
+        _slot(F.col("block"), F.col("path")).alias("slot"),
         F.pmod(F.col("_rank"), F.lit(block)).alias("place"),
     )
 

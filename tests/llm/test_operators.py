@@ -126,6 +126,40 @@ def test_mixing_is_proportionate_and_whole(spark):
         assert all(abs(done[s] - share[s] * (t + 1)) < 1 for s in sizes)
 
 
+def placed_counts(spark, sizes, weights, block=1):
+    """Blocks done per source after each slot, until the first source runs out."""
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    placed = mixing.mix(frame, weights=weights, block=block).select("source", "slot", "block").distinct().collect()
+    at = {r.slot: r.source for r in placed}
+    assert len(at) == len(placed)
+    last = Counter()
+    for r in placed:
+        last[r.source] = max(last[r.source], r.slot)
+    end, done = min(last.values()), Counter()
+    for t in range(end):
+        done[at[t]] += 1
+        yield t + 1, done
+
+
+def test_mixing_keeps_to_given_weights_over_many_rounds(spark):
+    for t, done in placed_counts(spark, {"a": 9000, "b": 1000}, {"a": 0.9, "b": 0.1}):
+        assert abs(done["a"] - 0.9 * t) < 1
+    assert t > 9000
+
+
+@pytest.mark.parametrize("small", [20, 150])
+def test_mixing_with_uneven_and_many_sources(spark, small):
+    weights = {"hot": 0.5} | {f"s{i}": 0.5 * (i % 7 + 1) for i in range(small)}
+    scale = 0.5 / sum(w for s, w in weights.items() if s != "hot")
+    weights = {s: w if s == "hot" else w * scale for s, w in weights.items()}
+    sizes = {s: int(6000 * w) + 2 for s, w in weights.items()}
+    worst = 0
+    for t, done in placed_counts(spark, sizes, weights):
+        worst = max(worst, max(abs(done[s] - w * t) for s, w in weights.items()))
+    assert t > 5000 and worst < 2.5
+
+
 def test_mixing_odd_rows(spark, docs):
     assert Counter(map(tuple, mixing.mixed(docs).collect())) == Counter(map(tuple, docs.collect()))
     assert mixing.mix(docs.limit(0)).count() == 0
