@@ -5,8 +5,8 @@ words repeat); a small network turns that into a vector and a gated attention we
 document's passages; the weighted sum of the vectors is scored. So a document can be judged by the passages that give it away,
 and the weights tell which.
 
-Trained on a sample of at most ``SAMPLE`` labelled documents with at most ``TRAIN_PASSAGES`` passages each, evenly spaced; scoring reads
-every passage of every text. The sample is chosen by a hash of the id, so all runs train on the same rows.
+Trained on a sample of at most ``SAMPLE`` labelled documents; training and scoring read every passage of every text. The sample is chosen by
+a hash of the id, so all runs train on the same rows.
 
 Defined cases: NULL or empty text is one empty passage and gets a score. Labels that are NULL or neither 0 nor 1 are left out; a document
 with several labels has the one given more often (1 in a tie). With no labels, or one class only, every score is the share of label
@@ -26,7 +26,6 @@ from coursemart.llm.common import map_texts
 
 PASSAGE_WORDS = 128
 SAMPLE = 4000
-TRAIN_PASSAGES = 24
 N_FEATURES = 256 + 5
 HIDDEN, GATE = 48, 24
 #: Passes over the sample, or as many more as give this number of steps.
@@ -71,7 +70,7 @@ class Bags:
     @classmethod
     def of(cls, bags: list[np.ndarray]) -> Bags:
         sizes = np.array([len(b) for b in bags])
-        return cls(np.concatenate(bags), np.cumsum(sizes) - sizes)
+        return cls(np.concatenate(bags).astype(np.float32, copy=False), np.cumsum(sizes) - sizes)
 
     @property
     def owner(self) -> np.ndarray:
@@ -145,6 +144,14 @@ class Attention:
         return self.forward(Bags.of([passages(text)]))["a"]
 
 
+def _moments(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of the features over all passages, a document at a time."""
+    n = sum(map(len, bags))
+    mean = sum(b.sum(axis=0, dtype=np.float64) for b in bags) / n
+    square = sum(((b - mean) ** 2).sum(axis=0) for b in bags) / n
+    return mean.astype(np.float32), np.sqrt(square).astype(np.float32)
+
+
 def held_out(key: str):
     """Documents whose labels may never be learned from."""
     return F.coalesce(F.expr(f"crc32(cast({key} AS string)) % 4 = 2"), F.lit(False))
@@ -169,12 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     )
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = []
-        for value in batch.column("_text").to_pylist():
-            bag = passages(value or "")
-            if len(bag) > TRAIN_PASSAGES:
-                bag = bag[np.linspace(0, len(bag) - 1, TRAIN_PASSAGES).astype(int)]
-            packed.append(bag.astype(np.float16).tobytes())
+        packed = [passages(x or "").astype(np.float16).tobytes() for x in batch.column("_text").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column("_key"), batch.column("_label"), pa.array(packed, pa.binary())], names=["_key", "_label", "bag"]
         )
@@ -182,14 +184,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     kind = dict(rows.dtypes)["_key"]
     got = map_texts(rows, "_text", f"_key {kind}, _label int, bag binary", run).toArrow().sort_by("_key").to_pydict()
     y = np.array(got["_label"], dtype=np.float32)
-    bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, N_FEATURES).astype(np.float32) for b in got["bag"]]
+    # Kept at half width; a batch of documents is widened when its turn comes.
+    bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, N_FEATURES) for b in got["bag"]]
     if len(np.unique(y)) < 2:
         model = Attention(np.zeros(N_FEATURES, np.float32), np.ones(N_FEATURES, np.float32))
         model.prior = float((y.sum() + 1) / (len(y) + 2))
         return model
-    rows_ = np.concatenate(bags)
-    model = Attention(rows_.mean(axis=0), 1 / (rows_.std(axis=0) + np.float32(0.02)))
-    return model.fit(bags, y)
+    mean, std = _moments(bags)
+    return Attention(mean, 1 / (std + np.float32(0.02))).fit(bags, y)
 
 
 def score(docs: DataFrame, model: Attention, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

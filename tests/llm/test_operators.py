@@ -366,3 +366,15 @@ def test_quality_on_held_out_labels(spark):
     assert quality.score(odd.limit(0), model).count() == 0
     one_class = quality.train(docs, labels.where("quality = 1"))
     assert one_class.prior > 0.9 and quality.train(docs, labels.limit(0)).prior == 0.5
+
+
+def test_quality_trains_on_every_passage(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality.Attention, "fit", lambda self, bags, labels: seen.extend(bags) or self)
+    text = " ".join(f"w{i}" for i in range(128 * 60 + 5))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:6]
+    docs = spark.createDataFrame([(i, text if j else "short") for j, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, j % 2) for j, i in enumerate(ids)], "doc_id long, quality int")
+    quality.train(docs, labels)
+    assert sorted(map(len, seen)) == [1, 61, 61, 61, 61, 61]
+    assert all(np.allclose(b, quality.passages(text), atol=1e-3) for b in seen if len(b) > 1)
