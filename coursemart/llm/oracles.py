@@ -5,7 +5,7 @@ Trained models, XXH64, BPE, approximate search and slot-by-slot schedules are be
 
 from __future__ import annotations
 
-from coursemart.llm import host_rules, licenses, secrets
+from coursemart.llm import fim, host_rules, licenses, secrets
 
 
 def _text(value: str) -> str:
@@ -144,9 +144,38 @@ FROM texts LEFT JOIN per_text USING (rid)
 """
 
 
+def _fim() -> str:
+    groups = ", ".join(f"('0x' || substr(h, {1 + 8 * i}, 8))::UBIGINT AS h{i + 1}" for i in range(4))
+    plain = " OR ".join(f"contains(text, {_text(s)})" for s in fim.SENTINELS)
+    return rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id::VARCHAR) AS h FROM documents
+), drawn AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS tok, {groups} FROM texts
+), cut AS (
+    SELECT *, len(tok) AS n,
+        CASE WHEN doc_id IS NULL OR text = '' OR {plain} OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+        least(h1 % (len(tok) + 1), h2 % (len(tok) + 1)) AS a, greatest(h1 % (len(tok) + 1), h2 % (len(tok) + 1)) AS b
+    FROM drawn
+), parts AS (
+    SELECT doc_id, text, n, form, array_to_string(tok[1:a], '') AS pre, array_to_string(tok[a + 1:b], '') AS mid,
+        array_to_string(tok[b + 1:n], '') AS suf
+    FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form = 'plain' THEN NULL ELSE length(pre) END::BIGINT AS prefix_chars,
+    CASE WHEN form = 'plain' THEN NULL ELSE length(mid) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+        WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE text END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 SQL: dict[str, str] = {
     "op1_host_rules": _host_rules(),
     "op4_warc": _warc(),
     "op6_license_digests": _licenses(),
     "op7_secret_trigrams": _secrets(),
+    "op11_fim_rotation": _fim(),
 }

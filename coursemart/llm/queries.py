@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import ann, bpe, host_rules, licenses, mixing, quality, secrets, simhash, token_store, warc
+from coursemart.llm import ann, bpe, fim, host_rules, licenses, mixing, quality, secrets, simhash, token_store, warc
 from coursemart.llm.common import table
 from coursemart.llm.oracles import SQL
 from coursemart.session import scratch_path
@@ -120,3 +120,14 @@ def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model)
+
+
+@query("op11_fim_rotation")
+def op11_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rotate every text into its fill-in-the-middle form, then restore it from output and form alone."""
+    done = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), out="fim")
+    restored = fim.restore_column(done.select("doc_id", "fim.*"), "output", "form")
+    return restored.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
