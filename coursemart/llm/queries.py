@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import ann, bpe, fim, host_rules, licenses, mixing, quality, secrets, simhash, token_store, warc
+from coursemart.llm import ann, bpe, fim, host_rules, licenses, mixing, pieces, quality, secrets, simhash, token_store, warc
 from coursemart.llm.common import table
 from coursemart.llm.oracles import SQL
 from coursemart.session import scratch_path
@@ -131,3 +131,11 @@ def op11_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
     )
+
+
+@query("op13_sentencepiece_chunks")
+def op13_sentencepiece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text through the table of distinct marked words, then decode each document's ids with the library."""
+    model = Path(vocabulary("piece_bpe_32k.model")).read_bytes()
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), "text", model, ["doc_id"])
+    return pieces.digests(encoded, "ids", model, ["doc_id"])
