@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import ann, bpe, fim, host_rules, licenses, mixing, pieces, quality, secrets, simhash, token_store, warc
+from coursemart.llm import ann, bpe, fim, host_rules, licenses, mixing, pieces, quality, resample, secrets, simhash, token_store, warc
 from coursemart.llm.common import table
 from coursemart.llm.oracles import SQL
 from coursemart.session import scratch_path
@@ -139,3 +139,9 @@ def op13_sentencepiece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = Path(vocabulary("piece_bpe_32k.model")).read_bytes()
     encoded = pieces.encode(table(spark, sf_dir, "documents"), "text", model, ["doc_id"])
     return pieces.digests(encoded, "ids", model, ["doc_id"])
+
+
+@query("op12_importance_resample")
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document against the benchmark texts and draw a tenth of those with 20 words or more."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
