@@ -12,7 +12,7 @@ each whole text is one word and is encoded by itself: slower, never wrong.
 
 Defined cases: a NULL text is empty and gets only the begin and end ids. Very long texts are cut into words by the JVM; the ids of
 one document are gathered in one row, as large as the document. Repeated rows (also repeated ids with other texts) are encoded each
-on its own; rows keep their place by a row number, written once with the texts. Other columns of the table, whatever their names, are not
+on its own; rows keep their place by a row number from the scan. Other columns of the table, whatever their names, are not
 read. An empty table gives an empty result.
 """
 
@@ -124,38 +124,45 @@ def encode_words(words: DataFrame, model: bytes, by_words: bool) -> DataFrame:
 
 
 def encode(docs: DataFrame, text: str, model: bytes, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``ids`` (array of int, begin and end ids included) for every row of ``docs``."""
+    """Columns ``keep`` of ``docs`` and ``ids`` (array of int, begin and end ids included) for every row of ``docs``.
+
+    Row numbers come from the scan of ``docs``; a table that gives its rows in another order each time it is read (after a round-robin
+    repartition, say) has to be written first.
+    """
     from coursemart.session import materialise
 
-    spark = docs.sparkSession
     sp = processor(model)
     begin, end = sp.bos_id(), sp.eos_id()
     by_words = splits_by_words(model)
     # Only names of its own inside, whatever the table's columns are called; ``keep`` gets its names back at the end.
-    # Written once, so that row numbers stay the same for every branch below and after a lost executor, whatever made ``docs``.
-    numbered = materialise(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            *(F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)),
-            F.col(f"`{text}`").alias("_text"),
-        ),
-        "numbered",
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        *(F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)),
+        F.col(f"`{text}`").alias("_text"),
     )
     found = places(numbered, "_text", by_words)
     table = materialise(encode_words(found.groupBy("word").agg(F.count("*").alias("n")), model, by_words), "pieces")
     total = table.agg(F.sum("n")).first()[0] or 0
+    # A word that a text repeats goes to the table once for that text, with all its places; a row's words all lie in one task,
+    # so the map side of this aggregation combines them before the shuffle.
+    pairs = found.groupBy("row", "word").agg(F.collect_list("pos").alias("at"))
     is_hot = (F.col("n") >= F.lit(max(2.0, total * HOT_SHARE))) & (F.length("word") <= HOT_CHARS)
     hot = table.where(is_hot).select("word", F.col("ids").alias("hot_ids"))
     cold = table.where(~is_hot).select("word", F.col("ids").alias("cold_ids"))
-    looked = found.join(F.broadcast(hot), "word", "left")
-    known = looked.where(F.col("hot_ids").isNotNull()).select("row", "pos", F.col("hot_ids").alias("ids"))
-    rest = looked.where(F.col("hot_ids").isNull()).join(cold, "word").select("row", "pos", F.col("cold_ids").alias("ids"))
-    parts = known.unionByName(rest)
-    gathered = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-    joined = F.flatten(F.transform(F.col("parts"), lambda p: p["ids"]))
-    ids = F.concat(F.array(F.lit(begin)), F.coalesce(joined, F.array().cast("array<int>")), F.array(F.lit(end)))
-    whole = numbered.drop("_text").join(gathered, "row", "left")
-    return whole.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), ids.alias("ids"))
+    looked = pairs.join(F.broadcast(hot), "word", "left")
+    known = looked.where(F.col("hot_ids").isNotNull()).select("row", "at", F.col("hot_ids").alias("ids"))
+    rest = looked.where(F.col("hot_ids").isNull()).join(cold, "word").select("row", "at", F.col("cold_ids").alias("ids"))
+    heads = numbered.select("row", F.struct(*(f"_k{i}" for i in range(len(keep)))).alias("head"))
+    parts = known.unionByName(rest).select("row", F.lit(None).alias("head"), "at", "ids")
+    every = heads.select("row", "head", F.array().cast("array<int>").alias("at"), F.array().cast("array<int>").alias("ids"))
+    gathered = every.unionByName(parts.select("row", F.col("head").cast(heads.schema["head"].dataType), "at", "ids"))
+    per_row = gathered.groupBy("row").agg(
+        F.max("head").alias("head"), F.collect_list(F.struct("at", "ids")).alias("parts")
+    )
+    placed = F.array_sort(F.flatten(F.transform("parts", lambda p: F.transform(p["at"], lambda a: F.struct(a.alias("pos"), p["ids"].alias("ids"))))))
+    joined = F.flatten(F.transform(placed, lambda p: p["ids"]))
+    ids = F.concat(F.array(F.lit(begin)), joined, F.array(F.lit(end)))
+    return per_row.select(*(F.col("head").getField(f"_k{i}").alias(c) for i, c in enumerate(keep)), ids.alias("ids"))
 
 
 def id_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:

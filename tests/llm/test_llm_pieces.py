@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from coursemart.llm import pieces
+from coursemart.session import materialise
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -44,7 +45,8 @@ ODD = [None, "", " ", "a ", "  ", " a", "a  b   ", "▁x ▁ y", "tab\tand\nline
 def docs(spark):
     rows = [(i, t, {"k": i}, "clash") for i, t in enumerate(ODD)]
     rows += [(1, "other text of one", None, ""), (None, "no id", None, ""), (1, "other text of one", None, "")]
-    return spark.createDataFrame(rows, "doc_id long, text string, `a.b` map<string,int>, `row` string").repartition(3)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `a.b` map<string,int>, `row` string")
+    return materialise(frame.repartition(3), "odd")
 
 
 def digest(ids):
