@@ -15,9 +15,11 @@ How it scales
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLOT = "_slot"
 NULL_KEY_SLOTS = 4096
@@ -38,6 +40,33 @@ def ordered_struct(columns: Sequence[str]) -> str:
     return f"struct({', '.join(fields)})"
 
 
+#: Types whose minimum a hash aggregate keeps in a fixed-width buffer, with no sort of the rows.
+FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def least_per_key(df: DataFrame, keys: Sequence[str], ranked: Sequence[str]) -> DataFrame:
+    """One whole row per key of ``df``: the least by ``ranked`` in turn, NULLs last. Keys hold no NULL.
+
+    Two steps instead of a sort of whole rows: the least first column per key, and how many rows the key has, come from a hash
+    aggregate of narrow rows; the rows that reach it are fetched by a join on the key. A key with one row is done there; only
+    keys with several rows go through a window over the remaining columns, on the rows already shuffled by key, to break exact
+    ties. The first column has to be of a fixed-width type.
+    """
+    first = ranked[0]
+    if not isinstance(df.schema[first].dataType, FIXED_WIDTH):
+        raise ValueError(f"the first order column {first!r} must have a fixed-width type")
+    inner = [f"_lk{i}" for i in range(len(keys))]
+    least = df.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, inner))).agg(
+        F.min(first).alias("_least"), F.count("*").alias("_rows")
+    )
+    condition = reduce(lambda a, b: a & b, (F.col(k) == F.col(n) for k, n in zip(keys, inner)))
+    reached = df.join(least, condition).where(F.col(first).eqNullSafe(F.col("_least")))
+    single = reached.where(F.col("_rows") == 1).select(*df.columns)
+    order = Window.partitionBy(*keys).orderBy(*(F.col(c).asc_nulls_last() for c in ranked))
+    several = reached.where(F.col("_rows") > 1).withColumn("_n", F.row_number().over(order))
+    return single.unionByName(several.where(F.col("_n") == 1).select(*df.columns))
+
+
 def winner_per_key(
     lookup: DataFrame, keys: Sequence[str], values: Sequence[str], order_by: Sequence[str] = (), slot: bool = False
 ) -> DataFrame:
@@ -48,6 +77,11 @@ def winner_per_key(
     """
     outputs = [v for v in dict.fromkeys(values) if v not in keys]
     ranked = [*order_by, *(v for v in outputs if v not in order_by)]
+    complete = lookup.where(f"NOT {any_null(keys)}")
+    if len(ranked) > 1 and isinstance(lookup.schema[ranked[0]].dataType, FIXED_WIDTH):
+        # Least order key first, then the row of it: no sort of whole lookup rows.
+        best = least_per_key(complete.select(*keys, *ranked), keys, ranked)
+        return best.select(*keys, *outputs, *([F.lit(0).cast("long").alias(SLOT)] if slot else []))
     if len(ranked) == 1:
         # min() passes over NULLs by itself, and on a fixed-width column it needs no sort before the shuffle.
         aggregates = [F.expr(f"struct(min({quoted(ranked[0])}) AS v0) AS _best")]

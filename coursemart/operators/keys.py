@@ -7,19 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursemart.operators.enrich import any_null, ordered_struct, quoted
+from coursemart.operators.enrich import FIXED_WIDTH, any_null, least_per_key, ordered_struct, quoted
 from coursemart.session import materialise
 
 
 def dedupe_on_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Keep one whole row per key: the first by ``order_by``, then by all other columns, NULLs last.
 
-    NULL is a key like any other here. A partial ``min`` runs before the shuffle, so copies of a hot key collapse early.
+    NULL is a key like any other here. Where the first order column has a fixed width, the least of it per key comes from a hash
+    aggregate of narrow rows and the whole rows are fetched by key and that value (``least_per_key``); exact ties, and keys with
+    a NULL, are settled last among the few rows left. Otherwise a partial ``min`` of one struct runs before the shuffle, so
+    copies of a hot key collapse early.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     ranked = [*order_by, *rest]
     if not ranked:
         return df.distinct()
+    if isinstance(df.schema[ranked[0]].dataType, FIXED_WIDTH):
+        complete = least_per_key(df.where(f"NOT {any_null(keys)}"), keys, ranked)
+        with_null = df.where(any_null(keys))
+        best = with_null.groupBy(*keys).agg(F.expr(f"min({ordered_struct(ranked)}) AS _best"))
+        partial = best.selectExpr(
+            *(quoted(c) if c in keys else f"_best.v{ranked.index(c)} AS {quoted(c)}" for c in df.columns)
+        )
+        return complete.unionByName(partial)
     best = df.groupBy(*keys).agg(F.expr(f"min({ordered_struct(ranked)}) AS _best"))
     return best.selectExpr(
         *(quoted(c) if c in keys else f"_best.v{ranked.index(c)} AS {quoted(c)}" for c in df.columns)

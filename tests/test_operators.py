@@ -26,6 +26,7 @@ from coursemart.operators import (
     restrict_to_keys,
     union_sources,
     volume_batches,
+    winner_per_key,
 )
 
 
@@ -238,3 +239,22 @@ def test_volume_batches(spark):
         (1, 1200, "1"), (2, 1000, "2"), (3, 999, "shared"), (4, 5, "shared"), (None, 2000, "shared"),
     ]
     assert [tuple(r) for r in batch_sizes(assignment).collect()] == [("shared", 3, 3004), ("1", 1, 1200), ("2", 1, 1000)]
+
+
+def test_least_rows_in_two_steps_with_ties_nulls_and_a_hot_key(spark):
+    data = [("a", 1, "z"), ("a", 1, "b"), ("a", 2, "a"), ("a", None, "0"), ("b", None, "y"), ("b", None, "x"), (None, 3, "n"),
+            (None, 1, "m"), ("c", 5, None), ("c", 5, "q")] + [("h", i % 7, f"t{i}") for i in range(3000)]
+    log = frame(spark, "t string, at int, s string", *data).repartition(5)
+    plain = {}
+    for t, at, s in data:
+        key = (at is None, at if at is not None else 0, s is None, s or "")
+        if t not in plain or key < plain[t][0]:
+            plain[t] = (key, (t, at, s))
+    assert rows(dedupe_on_key(log, ["t"], ["at"])) == sorted((v[1] for v in plain.values()), key=repr)
+    plan = dedupe_on_key(log, ["t"], ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan.split("Union")[0]
+
+
+def test_winner_per_key_by_order_then_value(spark):
+    lookup = frame(spark, "k int, id int, v string", (1, 2, "b"), (1, 1, "z"), (1, 1, "y"), (2, None, "a"), (2, None, "0"), (None, 1, "n"))
+    assert rows(winner_per_key(lookup, ["k"], ["v"], ["id"])) == [(1, "y"), (2, "0")]
