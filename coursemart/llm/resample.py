@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import string
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,8 +69,10 @@ def lines_of(texts: DataFrame, text: str) -> DataFrame:
 def distinct_lines(lines: DataFrame, max_n: int, buckets: int) -> DataFrame:
     """(line, occ, n_words, buckets) once for every distinct line: the segment table, written once."""
     counted = lines.groupBy("line").agg(F.count("*").alias("occ"))
-    words = F.regexp_extract_all("line", F.lit(WORD), 0)
-    found = counted.select(
+    # The words are a column of their own: inside a lambda an expression would be worked out again for every element.
+    split = counted.select("line", "occ", F.regexp_extract_all("line", F.lit(WORD), 0).alias("words"))
+    words = F.col("words")
+    found = split.select(
         "line", "occ", F.size(words).alias("n_words"),
         F.transform(features(words, max_n), lambda f: bucket_of(f, buckets)).alias("buckets"),
     )
@@ -80,12 +84,13 @@ def crossing(lines: DataFrame, max_n: int, buckets: int) -> DataFrame:
     if max_n < 2:
         return lines.sparkSession.createDataFrame([], "row long, bucket long")
     edge = max_n - 1
-    words = F.regexp_extract_all("line", F.lit(WORD), 0)
+    with_words = lines.select("row", "line_no", F.regexp_extract_all("line", F.lit(WORD), 0).alias("words"))
+    words = F.col("words")
     n = F.size(words)
     gap = F.array(F.lit(None).cast("string"))
     # A line gives its first and last ``edge`` words; a gap between them keeps runs from passing through a long line.
     ends = F.when(n <= 2 * edge, words).otherwise(F.concat(F.slice(words, 1, edge), gap, F.slice(words, -edge, edge)))
-    marked = lines.select("row", F.struct("line_no", F.transform(ends, lambda w: F.struct(F.col("line_no").alias("l"), w.alias("w"))).alias("ws")).alias("part"))
+    marked = with_words.select("row", F.struct("line_no", F.transform(ends, lambda w: F.struct(F.col("line_no").alias("l"), w.alias("w"))).alias("ws")).alias("part"))
     per_row = marked.groupBy("row").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     seq = F.flatten(F.transform("parts", lambda p: p["ws"]))
     made = [crossing_runs(F.col("seq"), k) for k in range(2, max_n + 1)]
@@ -125,9 +130,14 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int) -> list[float]:
     return [r["g"] for r in rows]
 
 
+def gain_array(gain: list[float]) -> Column:
+    """The gains as one array literal (``buckets`` doubles), not an expression per element."""
+    return F.lit(np.asarray(gain, dtype="float64"))
+
+
 def line_weights(table: DataFrame, gain: list[float]) -> DataFrame:
     """(line, occ, n_words, n_features, weight) per distinct line, the gains looked up in one array."""
-    g = F.lit(gain)
+    g = gain_array(gain)
     weight = F.aggregate("buckets", F.lit(0.0), lambda acc, b: acc + F.element_at(g, (b + 1).cast("int")))
     return table.select("line", "occ", "n_words", F.size("buckets").cast("long").alias("n_features"), weight.alias("weight"))
 
@@ -142,7 +152,7 @@ def per_document(lines: DataFrame, weighted: DataFrame, cross: DataFrame, gain:
     looked = lines.join(F.broadcast(hot), "line", "left")
     known = looked.where(F.col("h_weight").isNotNull()).select("row", *(F.col(f"h_{c}").alias(c) for c in cols))
     rest = looked.where(F.col("h_weight").isNull()).join(cold, "line").select("row", *cols)
-    g = F.lit(gain)
+    g = gain_array(gain)
     crossed = cross.select(
         "row", F.lit(0).cast("long").alias("n_words"), F.lit(1).cast("long").alias("n_features"),
         F.element_at(g, (F.col("bucket") + 1).cast("int")).alias("weight"),
