@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coursemart.operators.enrich import FIXED_WIDTH, any_null, least_per_key, ordered_struct, quoted
-from coursemart.session import materialise
 
 
 def dedupe_on_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -65,31 +65,101 @@ def keep_min_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
     return joined.where(f"_is_min IS NOT NULL OR {any_null([*keys, value])}").select(*df.columns)
 
 
-def dense_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq_num", start: int = 1) -> DataFrame:
+#: Copies of one row are numbered in chunks of at most this many, so that a row met a third of the time spreads over many tasks.
+COPY_CHUNK = 1 << 20
+#: Rows of the boundary sample per bucket.
+SAMPLE_PER_BUCKET = 32
+
+
+def dense_sequence(
+    df: DataFrame, order_by: Sequence[str], name: str = "seq_num", start: int = 1, buckets: int | None = None
+) -> DataFrame:
     """Number all rows ``start``, ``start+1``, ... in the order given, first column of the result.
 
-    Rows are range-partitioned and sorted, written once to the shared folder (numbers must not depend on whether a lost
-    executor re-samples the ranges), and each partition's numbers start after the rows of the partitions before it. Only
-    the per-partition row counts pass through one task. The remaining columns break ties in ``order_by``; among exact
-    copies the order cannot be told.
+    Order: ``order_by``, then the remaining columns, each ascending with NULLs first; exact copies cannot be told apart, so which
+    of them takes which number does not matter. Columns must be orderable (no maps).
+
+    Nothing is written and nothing is left behind. Copies collapse first (hash aggregate, partial before the shuffle) into one
+    row and a count, cut in chunks of at most ``COPY_CHUNK``. The chunks go to order-preserving buckets by boundaries drawn once
+    from a sample weighted by copies (``SAMPLE_PER_BUCKET`` rows a bucket reach the driver) and fixed as literals in the plan, so
+    a bucket is a function of the row alone, and a lost executor recomputes the same numbers. A hot or NULL order key spreads
+    over several buckets by its remaining columns and its chunks. Each bucket numbers its chunks by a running sum of their
+    sizes; the sizes of the buckets before it come from one row per bucket (broadcast, at most ``buckets`` rows).
     """
-    ranked = [F.col(c).asc_nulls_first() for c in [*order_by, *(c for c in df.columns if c not in order_by)]]
-    sorted_rows = df.repartitionByRange(*ranked).sortWithinPartitions(*ranked)
-    placed = materialise(
-        sorted_rows.withColumns(
-            {
-                "_part": F.spark_partition_id(),
-                "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
-            }
+    spark = df.sparkSession
+    cols = df.columns
+    if not cols:
+        raise ValueError("dense_sequence needs a column")
+    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranked = [*order_by, *(c for c in cols if c not in order_by)]
+    counted = df.groupBy(*cols).agg(F.count("*").alias("_n"))
+    last_chunk = F.floor((F.col("_n") - 1) / F.lit(COPY_CHUNK)).cast("long")
+    chunks = counted.select(*cols, "_n", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_c"))
+    chunks = chunks.select(*cols, "_c", F.least(F.lit(COPY_CHUNK).cast("long"), F.col("_n") - F.col("_c") * COPY_CHUNK).alias("_len"))
+    key_cols = [c for c in ranked if _literal_type(df.schema[c].dataType)]
+    key = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(key_cols)), F.col("_c").alias("k_c"))
+    bounds = _boundaries(chunks, key_cols, n_buckets, df.count())
+    bucketed = chunks.withColumn("_b", _bucket_of(key, bounds, [df.schema[c].dataType for c in key_cols]))
+    order = [*(F.col(c).asc_nulls_first() for c in ranked), F.col("_c")]
+    running = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = bucketed.withColumn("_end", F.sum("_len").over(running))
+    sizes = bucketed.groupBy("_b").agg(F.sum("_len").alias("_size"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_b", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    # One row per bucket, at most len(bounds) + 1: bounded by the parameter, whatever the size of the table.
+    placed = within.join(F.broadcast(offsets), "_b")
+    first = F.col("_before") + F.col("_end") - F.col("_len") + F.lit(start)
+    numbers = F.sequence(first.cast("long"), (first + F.col("_len") - 1).cast("long"))
+    return placed.select(F.explode(numbers).alias(name), *cols)
+
+
+def _literal_type(t: T.DataType) -> bool:
+    return isinstance(t, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+
+
+def _boundaries(chunks: DataFrame, key_cols: list[str], n_buckets: int, total: int) -> list[tuple]:
+    """Up to ``n_buckets - 1`` distinct keys, in order, that cut ``total`` copies into about equal shares."""
+    if total == 0 or n_buckets < 2:
+        return []
+    rate = min(1.0, SAMPLE_PER_BUCKET * n_buckets / total)
+    # A chunk of ``_len`` copies is drawn as often as that many rows would be: a hot row yields several boundaries.
+    picks = F.least(F.lit(SAMPLE_PER_BUCKET * n_buckets).cast("double"), F.floor(F.col("_len") * rate + F.rand(17)))
+    drawn = chunks.select(*key_cols, "_c", picks.cast("long").alias("_w")).where("_w > 0")
+    rows = drawn.orderBy(*(F.col(c).asc_nulls_first() for c in key_cols), "_c").collect()
+    weights = [r["_w"] for r in rows]
+    step = max(1, sum(weights) // n_buckets)
+    bounds, seen = [], 0
+    for r, w in zip(rows, weights):
+        seen += w
+        if seen >= step * (len(bounds) + 1) and len(bounds) < n_buckets - 1:
+            b = tuple(r[c] for c in key_cols) + (r["_c"],)
+            if not bounds or bounds[-1] != b:
+                bounds.append(b)
+    return bounds
+
+
+def _bucket_of(key, bounds: list[tuple], types: list[T.DataType]):
+    """How many of ``bounds`` are at most ``key``: a binary search in one higher-order function."""
+    if not bounds:
+        return F.lit(0)
+    lits = F.array(
+        *(
+            F.struct(*(F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))), F.lit(b[-1]).cast("long").alias("k_c"))
+            for b in bounds
         )
     )
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # One row per range partition, so never more than spark.sql.shuffle.partitions: small enough to broadcast at any scale.
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_before") + F.col("_pos") + F.lit(start)).cast("long").alias(name), *df.columns
-    )
+    steps = max(1, len(bounds).bit_length())
+    init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go_up = (acc["lo"] < acc["hi"]) & (key >= F.element_at(lits, mid + 1))
+        stay = acc["lo"] >= acc["hi"]
+        return F.when(stay, acc).when(go_up, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
+            F.struct(acc["lo"].alias("lo"), mid.alias("hi"))
+        )
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, halve)["lo"]
 
 
 def newest_n(df: DataFrame, root: str, ts: str, n: int = 2) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -161,6 +162,32 @@ def test_dense_sequence_with_copies_and_no_rows(spark):
     assert dense_sequence(copies.where("v = 2"), ["v"]).count() == 0
 
 
+def test_dense_sequence_splits_hot_keys_and_writes_nothing(spark, tmp_path):
+    from coursemart.operators import keys
+    from coursemart.session import shared_dir
+
+    rng = random.Random(3)
+    # A third of the rows are one copy, another share has a NULL order key with differing rest columns.
+    data = [(7, "hot")] * 1500 + [(None, f"n{rng.randrange(300)}") for _ in range(1000)]
+    data += [(rng.randrange(100), rng.choice(["a", None, "b"])) for _ in range(2000)]
+    before = sorted(p.name for p in Path(shared_dir(spark)).rglob("*"))
+    old = keys.COPY_CHUNK
+    keys.COPY_CHUNK = 64
+    try:
+        numbered = dense_sequence(frame(spark, "v int, s string", *data).repartition(5), ["v"], buckets=9)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        got = sorted(numbered.collect(), key=lambda r: r["seq_num"])
+    finally:
+        keys.COPY_CHUNK = old
+    assert [r["seq_num"] for r in got] == list(range(1, len(data) + 1))
+    expected = sorted(data, key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, d[1] or ""))
+    assert [(r["v"], r["s"]) for r in got] == expected
+    assert "Write" not in plan
+    assert sorted(p.name for p in Path(shared_dir(spark)).rglob("*")) == before
+    assert len(keys._boundaries(frame(spark, "v int", *[(1,)] * 3000).groupBy("v").agg(F.count("*").alias("_n"))
+               .select("v", F.lit(0).cast("long").alias("_c"), F.col("_n").alias("_len")), ["v"], 8, 3000)) == 1
+
+
 def test_newest_n_counts_a_snapshot_once(spark):
     snaps = frame(spark, "root string, at int", ("T", 1), ("T", 2), ("T", 2), ("T", 3), ("C", 1))
     assert rows(newest_n(snaps, "root", "at", 2)) == [("C", 1, 1), ("T", 2, 2), ("T", 3, 1)]
