@@ -10,8 +10,9 @@ number of its occurrences; its feature counts and its weight are computed once a
 totals as for each document. Runs of more than one word that cross a line feed are added apart: each line gives its first and last
 ``max_n - 1`` words (all of them if it has few), and only runs across a line feed are formed from those.
 
-Everything runs in DataFrame functions. Lines go back to their documents by a join on the line, of which lines met in at least
-``1 / HOT_SHARE`` of all places and no longer than ``HOT_CHARS`` are broadcast (at most 1 / HOT_SHARE of them), the rest shuffled.
+Everything runs in DataFrame functions; with runs of one word no copy of the texts is written. A line is known by its SHA-256 in shuffles and
+joins; lines go back to their documents by a join on it, of which lines met in at least ``HOT_SHARE`` of all places are broadcast
+(at most 1 / HOT_SHARE of them, 32 bytes and three numbers each), the rest shuffled.
 The gains are an array of ``buckets`` numbers, a size fixed by the parameter. Ranks come from a range partitioning by score and
 the counts of the partitions before, never from one task.
 
@@ -38,7 +39,6 @@ DRAW_SEED = "2024"
 SMOOTHING = 10_000
 
 HOT_SHARE = 1 / 4096
-HOT_CHARS = 256
 
 
 def lower_ascii(text: Column) -> Column:
@@ -66,14 +66,22 @@ def lines_of(texts: DataFrame, text: str) -> DataFrame:
     return numbered.select("row", F.posexplode(F.split("_t", "\n", -1)).alias("line_no", "line"))
 
 
+def line_key(line: Column) -> Column:
+    """32 bytes that stand for a line in shuffles and joins: its SHA-256."""
+    return F.unhex(F.sha2(line, 256))
+
+
 def distinct_lines(lines: DataFrame, max_n: int, buckets: int) -> DataFrame:
-    """(line, occ, n_words, buckets) once for every distinct line: the segment table, written once."""
-    counted = lines.groupBy("line").agg(F.count("*").alias("occ"))
+    """(lk, occ, n_words, buckets) once for every distinct line: the segment table, written once.
+
+    Lines are grouped by their digest; the text of a line crosses the shuffle once per task that holds it (partial aggregate).
+    """
+    counted = lines.groupBy(line_key(F.col("line")).alias("lk")).agg(F.count("*").alias("occ"), F.first("line").alias("line"))
     # The words are a column of their own: inside a lambda an expression would be worked out again for every element.
-    split = counted.select("line", "occ", F.regexp_extract_all("line", F.lit(WORD), 0).alias("words"))
+    split = counted.select("lk", "occ", F.regexp_extract_all("line", F.lit(WORD), 0).alias("words"))
     words = F.col("words")
     found = split.select(
-        "line", "occ", F.size(words).alias("n_words"),
+        "lk", "occ", F.size(words).alias("n_words"),
         F.transform(features(words, max_n), lambda f: bucket_of(f, buckets)).alias("buckets"),
     )
     return materialise(found, "lines")
@@ -136,29 +144,30 @@ def gain_array(gain: list[float]) -> Column:
 
 
 def line_weights(table: DataFrame, gain: list[float]) -> DataFrame:
-    """(line, occ, n_words, n_features, weight) per distinct line, the gains looked up in one array."""
+    """(lk, occ, n_words, n_features, weight) per distinct line, the gains looked up in one array."""
     g = gain_array(gain)
     weight = F.aggregate("buckets", F.lit(0.0), lambda acc, b: acc + F.element_at(g, (b + 1).cast("int")))
-    return table.select("line", "occ", "n_words", F.size("buckets").cast("long").alias("n_features"), weight.alias("weight"))
+    return table.select("lk", "occ", "n_words", F.size("buckets").cast("long").alias("n_features"), weight.alias("weight"))
 
 
 def per_document(lines: DataFrame, weighted: DataFrame, cross: DataFrame, gain: list[float]) -> DataFrame:
-    """(row, n_words, n_features, weight) per row, by a join of its lines to the segment table."""
+    """(row, key, n_words, n_features, weight) per row, by a join of its lines to the segment table."""
     total = weighted.agg(F.sum("occ")).first()[0] or 0
-    is_hot = (F.col("occ") >= F.lit(max(2.0, total * HOT_SHARE))) & (F.length("line") <= HOT_CHARS)
+    is_hot = F.col("occ") >= F.lit(max(2.0, total * HOT_SHARE))
     cols = ["n_words", "n_features", "weight"]
-    hot = weighted.where(is_hot).select("line", *(F.col(c).alias(f"h_{c}") for c in cols))
-    cold = weighted.where(~is_hot).select("line", *cols)
-    looked = lines.join(F.broadcast(hot), "line", "left")
-    known = looked.where(F.col("h_weight").isNotNull()).select("row", *(F.col(f"h_{c}").alias(c) for c in cols))
-    rest = looked.where(F.col("h_weight").isNull()).join(cold, "line").select("row", *cols)
+    hot = weighted.where(is_hot).select("lk", *(F.col(c).alias(f"h_{c}") for c in cols))
+    cold = weighted.where(~is_hot).select("lk", *cols)
+    looked = lines.select("row", "key", line_key(F.col("line")).alias("lk")).join(F.broadcast(hot), "lk", "left")
+    known = looked.where(F.col("h_weight").isNotNull()).select("row", "key", *(F.col(f"h_{c}").alias(c) for c in cols))
+    rest = looked.where(F.col("h_weight").isNull()).join(cold, "lk").select("row", "key", *cols)
     g = gain_array(gain)
     crossed = cross.select(
-        "row", F.lit(0).cast("long").alias("n_words"), F.lit(1).cast("long").alias("n_features"),
+        "row", F.lit(None).cast("long").alias("key"), F.lit(0).cast("long").alias("n_words"), F.lit(1).cast("long").alias("n_features"),
         F.element_at(g, (F.col("bucket") + 1).cast("int")).alias("weight"),
     )
     parts = known.unionByName(rest).unionByName(crossed)
-    return parts.groupBy("row").agg(*(F.sum(c).alias(c) for c in cols))
+    # Every row has a line (an empty text one empty line), so the key rides with its lines: no join back by row number.
+    return parts.groupBy("row").agg(F.first("key", ignorenulls=True).alias("key"), *(F.sum(c).alias(c) for c in cols))
 
 
 def draw(key: Column) -> Column:
@@ -182,19 +191,20 @@ def resample(
     max_n: int = 1, buckets: int = 10_000, percent: int = 10, least_words: int = 20,
 ) -> DataFrame:
     """Every row of ``docs``: key, n_features, weight, score, rank (all long; rank NULL where not drawn)."""
-    numbered = materialise(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").cast("long").alias("key"),
-                    F.col(f"`{text}`").cast("string").alias("text")), "numbered",
-    )
-    lines = materialise(
-        numbered.select("row", F.posexplode(F.split(lower_ascii(F.col("text")), "\n", -1)).alias("line_no", "line")), "line_places"
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text")
     )
+    if max_n >= 2:
+        # Runs across line feeds are found in a pass of their own, which must meet the same row numbers: fixed once in a copy.
+        numbered = materialise(numbered, "numbered")
+    # Otherwise nothing is written: the key rides with every line, and row numbers are only compared within one pass.
+    lines = numbered.select("row", "key", F.posexplode(F.split(lower_ascii(F.col("text")), "\n", -1)).alias("line_no", "line"))
     table, cross = distinct_lines(lines, max_n, buckets), crossing(lines, max_n, buckets)
     t_lines = lines_of(target.select(F.col(f"`{target_text}`").alias("t")), "t")
     t_table, t_cross = distinct_lines(t_lines, max_n, buckets), crossing(t_lines, max_n, buckets)
     gain = gains(bucket_counts(table, cross), bucket_counts(t_table, t_cross), buckets)
     found = per_document(lines, line_weights(table, gain), cross, gain)
-    whole = numbered.join(found, "row", "left")
+    whole = found
     weight = F.coalesce("weight", F.lit(0.0))
     scored = whole.select(
         "row", "key", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_features", F.lit(0)).cast("long").alias("n_features"),
