@@ -112,12 +112,13 @@ def _write(path: str, roll: int):
         fs.create_dir(folder, recursive=True)
         done, file, rolled = [], None, 0
         refers: dict[str, int] = {}
-        page, copy = object(), 0
+        copies: dict[str, int] = {}
+        page = object()
         for batch in slices(batches, "html"):
             for row in batch.to_pylist():
                 if row["page_id"] != page:
-                    # Copies of a page's row are numbered within it.
-                    page, copy, refers = row["page_id"], 0, {}
+                    # Copies are numbered per page and payload, so that copy 0 of (page, payload) is the record a revisit names.
+                    page, copies, refers = row["page_id"], {}, {}
                 if row["refers_to"] is not None or row["kind"] == 0:
                     refers[row["digest"]] = row["refers_to"]
                     continue
@@ -125,8 +126,9 @@ def _write(path: str, roll: int):
                 if file is None:
                     file = _File(fs, folder, f"part-{row['shard']:06d}-{rolled:04d}.warc.gz")
                     rolled += 1
+                copy = copies.get(row["digest"], 0)
+                copies[row["digest"]] = copy + 1
                 data = record(page, copy, row["url"] or "", row["html"], target, target is not None)
-                copy += 1
                 file.add(page, _member(data))
                 if file.bytes >= roll:
                     done.append(file.finish())

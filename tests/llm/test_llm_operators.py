@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -193,6 +194,22 @@ def test_warc_round_trip(spark):
     assert warc.read_archive(spark, empty).count() == 0
 
 
+def test_warc_revisits_name_records_of_the_archive(spark):
+    # Page 1 holds two payloads; pages 2 and 3 revisit one each, and page 1 repeats a row.
+    rows = [(1, "u", "alpha"), (1, "u", "beta"), (1, "u", "beta"), (2, "v", "beta"), (3, "w", "alpha"), (2, "v", "gamma")]
+    path = scratch_path(spark, "warc")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path, roll_bytes=300)
+    ids, refers = set(), []
+    for f in sorted(Path(path, "archive").glob("*.warc.gz")):
+        with open(f, "rb") as stream:
+            for head, _ in warc.records_of(stream):
+                ids.add(head["WARC-Record-ID"])
+                if head["WARC-Type"] == "revisit":
+                    refers.append(head["WARC-Refers-To"])
+    assert len(ids) == len(rows) and len(refers) == 2
+    assert all(r in ids for r in refers)
+
+
 def slow_fingerprint(text):
     import xxhash
 
