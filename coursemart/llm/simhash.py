@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coursemart.llm.common import map_texts, ship
 from coursemart.llm.components import connected_components
@@ -228,46 +229,86 @@ def near_duplicates(
     spark = docs.sparkSession
     ship(spark)
     marked = materialise(fingerprints(docs, key, text, shingle), "fingerprints")
-    distinct = materialise(marked.where("key IS NOT NULL").groupBy("fp").agg(F.min("key").alias("rep")), "distinct")
+    classes = components_of(marked, max_bits)
+    component = F.when(F.col("key").isNotNull(), F.col("component_id"))
+    return marked.join(classes, "fp", "left").select(
+        F.col("key").alias(key), "fp", component.alias("component_id")
+    )
+
+
+def components_of(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component_id) for every fingerprint of a row with a key in ``marked`` (key, fp).
+
+    Fingerprints are the nodes: two texts of one key are one node only if their fingerprints are. A component's id is the least key
+    of its rows.
+    """
+    spark = marked.sparkSession
+    distinct = materialise(marked.where("key IS NOT NULL").groupBy("fp").agg(F.min("key").alias("least")), "distinct")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Rows are dealt by key and sorted in the order of unsigned fingerprints.
     met = (
-        distinct.mapInArrow(_explode, "key long, fp long, rep long")
+        distinct.select("fp", F.col("fp").alias("rep"))
+        .mapInArrow(_explode, "key long, fp long, rep long")
         .repartition(n, "key")
         .sortWithinPartitions("key", F.expr("fp >= 0").desc(), "fp")
     )
     links = met.mapInArrow(_verify(max_bits), "a long, b long")
-    roots = connected_components(links).withColumnRenamed("node", "rep")
-    classes = materialise(
-        distinct.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id")), "classes"
-    )
-    component = F.when(F.col("key").isNotNull(), F.col("component_id"))
-    return marked.join(classes, "fp", "left").select(
-        F.col("key").alias(key), "fp", component.alias("component_id")
-    )
+    roots = connected_components(links).withColumnRenamed("node", "fp")
+    placed = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    # One row per component, from a partial aggregate: a component of any size sends one row per task.
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    return materialise(placed.join(least, "root").select("fp", "component_id"), "classes")
 
 
 def as_hex(fp: str):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, the one with the smallest key.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: a row whose key is the group's least.
 
-    Rows without a key stay. Of rows that repeat the kept key, the one with the least values stays.
+    Decided per row, by its key and fingerprint: a text of a kept key that resembles nothing else stays. Rows without a key stay.
+    Of several rows with the group's least key (repeated rows), the one with the least fingerprint stays, then the least SHA-256
+    of the row as JSON (any column type; only such rows are digested). The other columns are carried whatever their names.
     """
-    spark = docs.sparkSession
-    found = materialise(near_duplicates(docs, key, text), "near")
-    dropped = materialise(found.where(f"{key} <> component_id").select(key).distinct(), "dropped")
-    repeated = materialise(found.where(f"{key} IS NOT NULL").groupBy(key).count().where("count > 1").select(key), "repeated")
-    left = docs.join(dropped, key, "left_anti").select(*docs.columns)
-    if not repeated.count():
-        return left
-    rest = [c for c in docs.columns if c != key]
-    again = (
-        left.join(repeated, key, "left_semi")
-        .groupBy(key)
-        .agg(F.min(F.struct(*rest)).alias("row"))
-        .select(*(F.col(c) if c == key else F.col(f"row.{c}").alias(c) for c in docs.columns))
+    fp = _fresh("_fp", docs.columns)
+    marked = materialise(with_fingerprint(docs, key, text, fp, shingle), "marked")
+    classes = components_of(marked.select(F.col(key).cast("long").alias("key"), F.col(fp).alias("fp")))
+    comp = _fresh("_component", docs.columns)
+    rows = marked.join(classes.withColumnsRenamed({"fp": fp, "component_id": comp}), fp, "left")
+    no_key = rows.where(F.col(key).isNull()).select(*(F.col(f"`{c}`") for c in docs.columns))
+    cand = rows.where(F.col(key).cast("long") == F.col(comp))
+    many = cand.groupBy(comp).count().where("count > 1").select(comp)
+    single = cand.join(many, comp, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    digest = _fresh("_digest", docs.columns)
+    tied = cand.join(many, comp, "left_semi").withColumn(
+        digest, F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))), 256)
     )
-    return left.join(repeated, key, "left_anti").select(*docs.columns).union(again)
+    best = tied.groupBy(comp).agg(F.min(F.struct(fp, digest)).alias("_best")).select(
+        comp, F.col("_best").getField(fp).alias(fp), F.col("_best").getField(digest).alias(digest)
+    )
+    # Rows equal in fingerprint and digest are equal rows: any one of them is the one.
+    won = tied.join(best, [comp, fp, digest], "left_semi").dropDuplicates([comp])
+    return single.unionByName(won.select(*(F.col(f"`{c}`") for c in docs.columns))).unionByName(no_key)
+
+
+def _fresh(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def with_fingerprint(docs: DataFrame, key: str, text: str, fp: str, shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """Every column of ``docs`` and the fingerprint of ``text`` as ``fp`` (signed 64-bit)."""
+    tmp = _fresh("_text", docs.columns)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(tmp).to_pylist()
+        made = np.array([fingerprint(x or "", shingle) for x in texts], dtype=np.uint64)
+        cols = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != tmp]
+        names = [n for n in batch.schema.names if n != tmp]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(made.view(np.int64))], names=[*names, fp])
+
+    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.col(f"`{text}`").cast("string").alias(tmp))
+    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
+    return map_texts(rows, tmp, schema, run)

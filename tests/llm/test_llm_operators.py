@@ -250,6 +250,20 @@ def test_simhash_against_brute_force(spark, docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_decides_per_text_not_per_id(spark):
+    a = " ".join(f"alpha{i}" for i in range(40))
+    b = " ".join(f"beta{i} gamma" for i in range(40))
+    c = " ".join(f"delta{i} x y" for i in range(40))
+    rows = [(1, a, {"k": 1}, "p"), (3, a, {"k": 2}, "q"), (3, b, None, "r"), (5, c, None, "s"), (5, c, None, "s"), (None, a, None, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, _fp string")
+    found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert found == {(1, 1), (3, 1), (3, 3), (5, 5), (None, None)}
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r._fp) for r in simhash.keep_one(docs).collect())
+    # B of id 3 resembles nothing and stays; one of the equal rows of 5 stays; the row without an id stays.
+    assert kept == [(False, 1, "p"), (False, 3, "r"), (False, 5, "s"), (True, 0, "t")]
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("many", [8, 2048])
 def test_golay_keys_miss_no_link(monkeypatch, many):
     monkeypatch.setattr(simhash, "MANY", many)
