@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,8 @@ def least_per_key(df: DataFrame, keys: Sequence[str], ranked: Sequence[str]) ->
 
     Two steps instead of a sort of whole rows: the least first column per key, and how many rows the key has, come from a hash
     aggregate of narrow rows; the rows that reach it are fetched by a join on the key. A key with one row is done there; only
-    keys with several rows go through a window over the remaining columns, on the rows already shuffled by key, to break exact
-    ties. The first column has to be of a fixed-width type.
+    keys with several rows go through a ``min`` of a struct of the remaining columns, over the rows that reached the least first
+    value, to break exact ties. The first column has to be of a fixed-width type.
     """
     first = ranked[0]
     if not isinstance(df.schema[first].dataType, FIXED_WIDTH):
@@ -62,9 +62,11 @@ def least_per_key(df: DataFrame, keys: Sequence[str], ranked: Sequence[str]) ->
     condition = reduce(lambda a, b: a & b, (F.col(k) == F.col(n) for k, n in zip(keys, inner)))
     reached = df.join(least, condition).where(F.col(first).eqNullSafe(F.col("_least")))
     single = reached.where(F.col("_rows") == 1).select(*df.columns)
-    order = Window.partitionBy(*keys).orderBy(*(F.col(c).asc_nulls_last() for c in ranked))
-    several = reached.where(F.col("_rows") > 1).withColumn("_n", F.row_number().over(order))
-    return single.unionByName(several.where(F.col("_n") == 1).select(*df.columns))
+    # Exact ties: the least struct of the remaining columns per key, over the rows that reached the least first value only.
+    order = [*ranked, *(c for c in df.columns if c not in keys and c not in ranked)]
+    best = reached.where(F.col("_rows") > 1).groupBy(*keys).agg(F.expr(f"min({ordered_struct(order)}) AS _best"))
+    several = best.selectExpr(*(quoted(c) if c in keys else f"_best.v{order.index(c)} AS {quoted(c)}" for c in df.columns))
+    return single.unionByName(several)
 
 
 def winner_per_key(
