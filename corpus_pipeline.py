@@ -2,7 +2,8 @@
 
 Each stage reads what the one before wrote and works on all of it. Documents that the classifier rejects go; of each group of near-duplicates
 the document with the smallest id stays; secrets are replaced in the text; the documents are put in the order of the mixing schedule, all of
-them; the last stage encodes and decodes every text and returns its digests, in that order.
+them, with slot and place as columns; the last stage encodes and decodes every text and returns its digests, and where its ids start when
+the ids of all documents are laid one after the other in the mixed order.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from coursemart.llm.common import table
 from coursemart.llm.queries import token_digests
 from coursemart.session import materialise
 
+#: Columns that carry the mixed order from the mixing stage on.
+ORDER = ("slot", "place")
+
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels that are not held out and keeps what scores at the threshold or above."""
@@ -30,12 +34,13 @@ def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, order=ORDER)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Workers also hold what the stages before left in them, so the encoder keeps less than on its own.
-    return token_digests(docs, max_states=60_000, memo_units=400_000)
+    digests = token_digests(docs, [*ORDER], max_states=60_000, memo_units=400_000)
+    return mixing.running_start(materialise(digests, "digests"), "n_tokens", "start", ORDER)
 
 
 STAGES = [

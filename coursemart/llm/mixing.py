@@ -20,6 +20,7 @@ lie next to each other in one order or another. Text is not looked at. An empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -195,11 +196,34 @@ def mix(
     )
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", **how) -> DataFrame:
-    """All rows of ``docs`` in mixed order: partition after partition, and within each, by slot and place."""
-    return (
+def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", order: tuple[str, str] | None = None, **how) -> DataFrame:
+    """All rows of ``docs`` in mixed order: partition after partition, and within each, by slot and place.
+
+    ``order`` names two columns that keep slot and place, so that the order lasts where rows are read or dealt out anew.
+    """
+    by_slot = (
         mix(docs, key, source, **how)
         .withColumnsRenamed({"slot": "_slot", "place": "_in_block"})
         .orderBy("_slot", "_in_block")
-        .select(*docs.columns)
+    )
+    kept = [F.col(c).alias(name) for c, name in zip(("_slot", "_in_block"), order or (), strict=False)]
+    return by_slot.select(*docs.columns, *kept)
+
+
+def running_start(rows: DataFrame, amount: str, out: str, order: tuple[str, str] = ("slot", "place")) -> DataFrame:
+    """``rows`` and ``out``: the sum of ``amount`` over all rows that come before in mixed order.
+
+    ``rows`` are read three times, so they are written ones. Slots are cut into about as many ranges as a range has slots, so neither a
+    range nor the list of ranges is many rows for one task.
+    """
+    last = rows.agg(F.max(order[0])).first()[0] or 0
+    cut = rows.withColumn("_range", F.floor(F.col(order[0]) / F.lit(math.isqrt(last) + 1)))
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = cut.groupBy(F.col("_range").alias("_r")).agg(F.sum(amount).alias("_sum"))
+    ranges = ranges.select("_r", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        cut.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+        .join(ranges, F.col("_range") == F.col("_r"))
+        .select(*rows.columns, (F.col("_first") + F.col("_inside")).cast("long").alias(out))
     )

@@ -6,7 +6,7 @@ Each query applies its operator, with the parameters that production would use,
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,16 +94,17 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
-def token_digests(docs: DataFrame, **bounds: int) -> DataFrame:
-    """Encode every text, decode its ids, and digest both; ``bounds`` go to ``bpe.encode``."""
+def token_digests(docs: DataFrame, keep: Sequence[str] = (), **bounds: int) -> DataFrame:
+    """Encode every text, decode its ids, and digest both; columns ``keep`` come first after the id, ``bounds`` go to ``bpe.encode``."""
     import public_tokenizers
 
     ranks = Path(vocabulary("byte_bpe_50k.tiktoken")).read_bytes()
     encoded = bpe.encode(
-        docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"], decoded_name="decoded", **bounds
+        docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id", *keep], decoded_name="decoded", **bounds
     )
     return encoded.select(
         "doc_id",
+        *keep,
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
