@@ -114,14 +114,23 @@ class Memo:
         self.half = limit // 2
 
     def missing(self, units_: set[str]) -> list[str]:
-        """The units that neither generation knows; the others are in the young one afterwards."""
+        """Those of ``units_``, which the young generation lacks, that the old one lacks too; the others are in the young one afterwards."""
         if len(self.young) >= self.half:
             self.old, self.young = self.young, {}
-        new = units_.difference(self.young)
-        for unit in [u for u in new if u in self.old]:
-            self.young[unit] = self.old[unit]
-            new.discard(unit)
-        return list(new)
+        known = [u for u in units_ if u in self.old]
+        self.young.update((u, self.old[u]) for u in known)
+        return list(units_.difference(known))
+
+
+def look_up(parts: list[str], memo: Memo, encode_units: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+    """What each of ``parts`` is encoded to; those that ``memo`` does not know are encoded together."""
+    packed = list(map(memo.young.get, parts))
+    if None in packed:
+        new = memo.missing({u for u, p in zip(parts, packed, strict=True) if p is None})
+        if new:
+            memo.young.update(zip(new, encode_units(new), strict=True))
+        packed = [memo.young[u] if p is None else p for u, p in zip(parts, packed, strict=True)]
+    return packed
 
 
 def encode_by_unit(
@@ -139,10 +148,7 @@ def encode_by_unit(
         return encode_text(text)
     first = encode_text(parts[0])
     del parts[0]
-    new = memo.missing(set(parts))
-    if new:
-        memo.young.update(zip(new, encode_units([u if u[0] == "\n" else " " + u for u in new]), strict=True))
-    return first + b"".join(map(memo.young.__getitem__, parts))
+    return first + b"".join(look_up(parts, memo, lambda new: encode_units([u if u[0] == "\n" else " " + u for u in new])))
 
 
 def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:

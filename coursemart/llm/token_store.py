@@ -19,6 +19,7 @@ that repeat a key are stored side by side and all found by it. An empty table gi
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -33,6 +34,9 @@ BUCKET_KEYS = 1024
 LEVELS = 24
 FINGERPRINT_SEED = 101
 
+#: Units that a worker's encoder remembers; at about 200 bytes each, some 200 MB.
+STORE_UNITS = 1_000_000
+
 RECORDS = "key long, shard int, file string, at long, n_ids long"
 INDEX = (
     "bucket long, sizes array<int>, bits binary, leftover binary, fingerprints binary, first binary, copies binary, "
@@ -45,6 +49,8 @@ INDEX = (
 
 def text_encoder(tokenizer_json: str, width: str) -> Callable[[str], bytes]:
     """Text to packed ids with the tokenizers library, unit by unit with a bounded memo."""
+    # A task is one core's work; the library would start a pool of threads in each worker.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -55,17 +61,23 @@ def text_encoder(tokenizer_json: str, width: str) -> Callable[[str], bytes]:
         n_bytes[i] = len(token)
     step = np.dtype(width).itemsize
 
+    def encoded(text: str) -> np.ndarray:
+        # The same ids as from encode(), without the offsets that nobody reads.
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=width)
+
     def whole(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype=width).tobytes()
+        return encoded(text).tobytes()
 
     def joined(parts: list[str]) -> list[bytes]:
-        ids = np.array(tokenizer.encode("".join(parts), add_special_tokens=False).ids, dtype=width)
-        ends = np.cumsum(np.fromiter((len(p.encode()) for p in parts), dtype=np.int64, count=len(parts)))
+        text = "".join(parts)
+        ids = encoded(text)
+        sizes = map(len, parts) if text.isascii() else (len(p.encode()) for p in parts)
+        ends = np.cumsum(np.fromiter(sizes, dtype=np.int64, count=len(parts)))
         cuts = ((np.searchsorted(np.cumsum(n_bytes[ids]), ends) + 1) * step).tolist()
         packed = ids.tobytes()
         return [packed[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
-    memo = Memo()
+    memo = Memo(STORE_UNITS)
     return lambda text: encode_by_unit(text, memo, joined, whole)
 
 
