@@ -2,24 +2,25 @@
 
 A SentencePiece model that splits by whitespace never lets a piece run across the start of a marked word: a run of whitespace
 markers (``▁``; a space becomes one) and the characters up to the next marker. With the identity normaliser and a dummy prefix,
-the ids of a text are the ids of its marked words, in order, each word encoded alone. So every distinct marked word of the corpus is
-encoded once, and its ids are joined back to the places where it occurs. Words met in at least ``1 / HOT_SHARE`` of all places
-(short ones only, so the table has a proven size) are broadcast; the rest meet their places in a shuffle join on the word. Ids of
-one document are put together by position, begin and end ids around them.
+the ids of a text are the ids of its marked words, in order, each word encoded alone. Spark counts all words of the corpus; those met in at least ``HOT_SHARE`` of all places (short ones only, so the
+table has a proven size) are encoded once and broadcast as a table of words and ids. The task that holds a text joins its words with
+that table; of the other words, each is encoded by the library where it is met and remembered, within a bound, by the worker. So
+neither texts nor ids nor places are shuffled, only the counts.
 
 Where a model does not meet these conditions (another normaliser, no dummy prefix, no split by whitespace, whitespace as suffix),
 each whole text is one word and is encoded by itself: slower, never wrong.
 
-Defined cases: a NULL text is empty and gets only the begin and end ids. Very long texts are cut into words by the JVM; the ids of
-one document are gathered in one row, as large as the document. Repeated rows (also repeated ids with other texts) are encoded each
-on its own; rows keep their place by a row number from the scan. Other columns of the table, whatever their names, are not
-read. An empty table gives an empty result.
+Defined cases: a NULL text is empty and gets only the begin and end ids. The ids of one document are in one row, as large as the
+document. Repeated rows (also repeated ids with other texts) are encoded each on its own. Other columns of the table, whatever their
+names, are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +29,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import ship, slices
+from coursemart.llm.common import Memo, look_up, ship, slices
+from coursemart.session import materialise
 
 #: The whitespace marker of SentencePiece; a space of the input becomes one.
 MARKER = "▁"
 
 #: A word met in at least this share of all places is broadcast, if it is short; at most 1 / HOT_SHARE words are.
-HOT_SHARE = 1 / 4096
+HOT_SHARE = 1 / (1 << 18)
 #: Longest word (code points) that may be broadcast, so that the broadcast table has a bound of its own.
 HOT_CHARS = 256
 
+_SPACED = re.compile(r" +[^ ]+| +\Z")
+
 _processors: dict[bytes, object] = {}
+_memos: dict[bytes, Memo] = {}
 
 
 def processor(model: bytes):
@@ -79,90 +84,101 @@ def lone_marker(sp) -> list[int]:
     return sp.encode("x ", out_type=int)[len(sp.encode("x", out_type=int)) :]
 
 
-def marked_words(text: str) -> list[str]:
-    """The marked words of a text in order, as ``places`` cuts them (for tests and plain use)."""
-    import re
-
+def chunks(text: str) -> list[str]:
+    """The marked words of a text in order, each without its first marker; further markers are spaces, as which they encode alike."""
     if not text:
         return []
-    chunks = re.split(f"(?<=[^ {MARKER}])(?=[ {MARKER}])", text)
-    return [MARKER + (c if i == 0 else c[1:]) for i, c in enumerate(chunks)]
-
-
-def places(docs: DataFrame, text: str, by_words: bool) -> DataFrame:
-    """(row, pos, word) for every marked word of every text; ``row`` is the row number of ``docs``."""
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    if by_words:
-        chunks = F.split(body, f"(?<=[^ {MARKER}])(?=[ {MARKER}])", -1)
-    else:
-        chunks = F.array(body)
-    exploded = docs.select("row", F.posexplode(chunks).alias("pos", "chunk"))
-    word = F.when(F.col("pos") == 0, F.concat(F.lit(MARKER), "chunk")).otherwise(
-        F.concat(F.lit(MARKER), F.expr("substring(chunk, 2)"))
-    )
-    return exploded.where((F.col("pos") > 0) | (F.col("chunk") != "")).select("row", "pos", word.alias("word"))
+    spaced = text.replace(MARKER, " ")
+    if "  " not in spaced and spaced[0] != " " and spaced[-1] != " ":
+        return spaced.split(" ")
+    return [word[1:] for word in _SPACED.findall(" " + spaced)]
+
+
+def marked_words(text: str) -> list[str]:
+    """The marked words of a text in order (for tests and plain use)."""
+    return [MARKER + c for c in chunks(text)]
 
 
-def encode_words(words: DataFrame, model: bytes, by_words: bool) -> DataFrame:
-    """(word, n, ids) for every distinct word; ``n`` is how often it occurs."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(word, n) for every distinct marked word, without its first marker; a word behind several blanks counts as if behind one."""
+    body = F.translate(F.col(f"`{text}`").cast("string"), MARKER, " ")
+    words = docs.select(F.explode(F.split(body, " ")).alias("word")).where("word <> ''")
+    return words.groupBy("word").agg(F.count("*").alias("n"))
+
+
+def _chunk_encoder(sp) -> Callable[[list[str]], list[bytes]]:
+    """Packed ids of marked words that come without their first marker, for which the dummy prefix stands."""
+    lone = lone_marker(sp)
+
+    def run(words: list[str]) -> list[bytes]:
+        ids = sp.encode(words, out_type=int, num_threads=1)
+        return [array("i", i if w else lone).tobytes() for w, i in zip(words, ids, strict=True)]
+
+    return run
+
+
+def encode_words(words: DataFrame, model: bytes) -> DataFrame:
+    """(word, ids) for every row of ``words``; ``ids`` are packed 32-bit integers."""
     ship(words.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = processor(model)
-        lone = lone_marker(sp)
+        encode_new = _chunk_encoder(processor(model))
         for batch in slices(batches, "word"):
-            listed = batch.column("word").to_pylist()
-            if by_words:
-                ids = [encode_word(sp, w, lone) for w in listed]
-            else:
-                ids = [sp.encode(w[1:], out_type=int) for w in listed]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"]
-            )
+            packed = encode_new(batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(packed, pa.binary())], names=["word", "ids"])
 
-    return words.mapInArrow(run, "word string, n long, ids array<int>")
+    return words.select("word").mapInArrow(run, "word string, ids binary")
 
 
-def encode(docs: DataFrame, text: str, model: bytes, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``ids`` (array of int, begin and end ids included) for every row of ``docs``.
+def hot_words(docs: DataFrame, text: str, model: bytes) -> dict[str, bytes]:
+    """Packed ids of the words that are met in at least ``HOT_SHARE`` of all places and are short: at most ``1 / HOT_SHARE`` words."""
+    counts = materialise(word_counts(docs, text), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where((F.col("n") >= F.lit(max(2.0, total * HOT_SHARE))) & (F.length("word") <= HOT_CHARS))
+    return {r["word"]: bytes(r["ids"]) for r in encode_words(hot, model).collect()}
+
+
+def text_encoder(sp, hot: dict[str, bytes], memo: Memo) -> Callable[[str], bytes]:
+    """Text to packed ids: a word's ids come from the table of hot words, or else from the worker's memo."""
+    encode_new = _chunk_encoder(sp)
+
+    def run(text: str) -> bytes:
+        words = chunks(text)
+        packed = list(map(hot.get, words))
+        if None in packed:
+            rest = iter(look_up([w for w, p in zip(words, packed, strict=True) if p is None], memo, encode_new))
+            packed = [next(rest) if p is None else p for p in packed]
+        return b"".join(packed)
+
+    return run
 
-    Row numbers come from the scan of ``docs``; a table that gives its rows in another order each time it is read (after a round-robin
-    repartition, say) has to be written first.
-    """
-    from coursemart.session import materialise
 
-    sp = processor(model)
-    begin, end = sp.bos_id(), sp.eos_id()
+def encode(docs: DataFrame, text: str, model: bytes, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and ``ids`` (array of int, begin and end ids included) for every row of ``docs``."""
+    spark = docs.sparkSession
+    ship(spark)
     by_words = splits_by_words(model)
+    shared = spark.sparkContext.broadcast(hot_words(docs, text, model) if by_words else {})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp = processor(model)
+        if by_words:
+            memo = _memos.setdefault(hashlib.sha256(model).digest(), Memo())
+            encode_text = text_encoder(sp, shared.value, memo)
+        else:
+            encode_text = lambda t: array("i", sp.encode(t, out_type=int)).tobytes()
+        begin, end = array("i", [sp.bos_id()]).tobytes(), array("i", [sp.eos_id()]).tobytes()
+        for batch in slices(batches, "_text"):
+            packed = [begin + encode_text(t or "") + end for t in batch.column("_text").to_pylist()]
+            at = np.cumsum([0, *map(len, packed)]) // 4
+            ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], names=[*(f"_k{i}" for i in range(len(keep))), "ids"])
+
     # Only names of its own inside, whatever the table's columns are called; ``keep`` gets its names back at the end.
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        *(F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)),
-        F.col(f"`{text}`").alias("_text"),
-    )
-    found = places(numbered, "_text", by_words)
-    table = materialise(encode_words(found.groupBy("word").agg(F.count("*").alias("n")), model, by_words), "pieces")
-    total = table.agg(F.sum("n")).first()[0] or 0
-    # A word that a text repeats goes to the table once for that text, with all its places; a row's words all lie in one task,
-    # so the map side of this aggregation combines them before the shuffle.
-    pairs = found.groupBy("row", "word").agg(F.collect_list("pos").alias("at"))
-    is_hot = (F.col("n") >= F.lit(max(2.0, total * HOT_SHARE))) & (F.length("word") <= HOT_CHARS)
-    hot = table.where(is_hot).select("word", F.col("ids").alias("hot_ids"))
-    cold = table.where(~is_hot).select("word", F.col("ids").alias("cold_ids"))
-    looked = pairs.join(F.broadcast(hot), "word", "left")
-    known = looked.where(F.col("hot_ids").isNotNull()).select("row", "at", F.col("hot_ids").alias("ids"))
-    rest = looked.where(F.col("hot_ids").isNull()).join(cold, "word").select("row", "at", F.col("cold_ids").alias("ids"))
-    heads = numbered.select("row", F.struct(*(f"_k{i}" for i in range(len(keep)))).alias("head"))
-    parts = known.unionByName(rest).select("row", F.lit(None).alias("head"), "at", "ids")
-    every = heads.select("row", "head", F.array().cast("array<int>").alias("at"), F.array().cast("array<int>").alias("ids"))
-    gathered = every.unionByName(parts.select("row", F.col("head").cast(heads.schema["head"].dataType), "at", "ids"))
-    per_row = gathered.groupBy("row").agg(
-        F.max("head").alias("head"), F.collect_list(F.struct("at", "ids")).alias("parts")
-    )
-    placed = F.array_sort(F.flatten(F.transform("parts", lambda p: F.transform(p["at"], lambda a: F.struct(a.alias("pos"), p["ids"].alias("ids"))))))
-    joined = F.flatten(F.transform(placed, lambda p: p["ids"]))
-    ids = F.concat(F.array(F.lit(begin)), joined, F.array(F.lit(end)))
-    return per_row.select(*(F.col("head").getField(f"_k{i}").alias(c) for i, c in enumerate(keep)), ids.alias("ids"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").cast("string").alias("_text"))
+    schema = T.StructType([*rows.schema.fields[: len(keep)], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    done = rows.mapInArrow(run, schema)
+    return done.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "ids")
 
 
 def id_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:

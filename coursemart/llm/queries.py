@@ -136,7 +136,7 @@ def op11_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op13_sentencepiece_chunks")
 def op13_sentencepiece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encode every text through the table of distinct marked words, then decode each document's ids with the library."""
+    """Encode every text through its marked words and the table of frequent ones, then decode each document's ids with the library."""
     model = Path(vocabulary("piece_bpe_32k.model")).read_bytes()
     encoded = pieces.encode(table(spark, sf_dir, "documents"), "text", model, ["doc_id"])
     return pieces.digests(encoded, "ids", model, ["doc_id"])
