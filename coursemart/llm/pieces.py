@@ -21,6 +21,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,9 @@ HOT_SHARE = 1 / (1 << 18)
 #: Longest word (code points) that may be broadcast, so that the broadcast table has a bound of its own.
 HOT_CHARS = 256
 
+#: Bytes of text whose words are looked up together; the unknown ones go to the library in one call, which has a price of its own.
+LOOK_UP_BYTES = 1 << 18
+
 _SPACED = re.compile(r" +[^ ]+| +\Z")
 
 _processors: dict[bytes, object] = {}
@@ -111,8 +115,9 @@ def _chunk_encoder(sp) -> Callable[[list[str]], list[bytes]]:
     lone = lone_marker(sp)
 
     def run(words: list[str]) -> list[bytes]:
-        ids = sp.encode(words, out_type=int, num_threads=1)
-        return [array("i", i if w else lone).tobytes() for w, i in zip(words, ids, strict=True)]
+        ids = [i if w else lone for w, i in zip(words, sp.encode(words, out_type=int, num_threads=1), strict=True)]
+        whole = array("i", chain.from_iterable(ids)).tobytes()
+        return [whole[4 * a : 4 * b] for a, b in pairwise(accumulate(map(len, ids), initial=0))]
 
     return run
 
@@ -138,21 +143,29 @@ def hot_words(docs: DataFrame, text: str, model: bytes) -> dict[str, bytes]:
     return {r["word"]: bytes(r["ids"]) for r in encode_words(hot, model).collect()}
 
 
-def text_encoder(sp, hot: dict[str, bytes], memo: Memo) -> Callable[[str], bytes]:
-    """Text to packed ids: a word's ids come from the table of hot words, or else from the worker's memo."""
+def texts_encoder(sp, hot: dict[str, bytes], memo: Memo) -> Callable[[list[str]], list[bytes]]:
+    """Texts to packed ids: a word's ids come from the table of hot words, or else from the worker's memo, for all the texts together."""
     encode_new = _chunk_encoder(sp)
 
-    def run(text: str) -> bytes:
-        words = chunks(text)
+    def run(texts: list[str]) -> list[bytes]:
+        parts = list(map(chunks, texts))
+        words = list(chain.from_iterable(parts))
         packed = list(map(hot.get, words))
         if None in packed:
             rest = iter(look_up([w for w, p in zip(words, packed, strict=True) if p is None], memo, encode_new))
             packed = [next(rest) if p is None else p for p in packed]
-        return b"".join(packed)
+        ids = iter(packed)
+        return [b"".join(islice(ids, len(part))) for part in parts]
 
     return run
 
 
+def text_encoder(sp, hot: dict[str, bytes], memo: Memo) -> Callable[[str], bytes]:
+    """``texts_encoder`` for one text at a time."""
+    encode_texts = texts_encoder(sp, hot, memo)
+    return lambda text: encode_texts([text])[0]
+
+
 def encode(docs: DataFrame, text: str, model: bytes, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` and ``ids`` (array of int, begin and end ids included) for every row of ``docs``."""
     spark = docs.sparkSession
@@ -164,12 +177,12 @@ def encode(docs: DataFrame, text: str, model: bytes, keep: list[str]) -> DataFra
         sp = processor(model)
         if by_words:
             memo = _memos.setdefault(hashlib.sha256(model).digest(), Memo())
-            encode_text = text_encoder(sp, shared.value, memo)
+            encode_texts = texts_encoder(sp, shared.value, memo)
         else:
-            encode_text = lambda t: array("i", sp.encode(t, out_type=int)).tobytes()
+            encode_texts = lambda texts: [array("i", sp.encode(t, out_type=int)).tobytes() for t in texts]
         begin, end = array("i", [sp.bos_id()]).tobytes(), array("i", [sp.eos_id()]).tobytes()
-        for batch in slices(batches, "_text"):
-            packed = [begin + encode_text(t or "") + end for t in batch.column("_text").to_pylist()]
+        for batch in slices(batches, "_text", LOOK_UP_BYTES):
+            packed = [begin + ids + end for ids in encode_texts([t or "" for t in batch.column("_text").to_pylist()])]
             at = np.cumsum([0, *map(len, packed)]) // 4
             ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], names=[*(f"_k{i}" for i in range(len(keep))), "ids"])
@@ -195,6 +208,13 @@ def id_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 <<
             yield batch.slice(begin)
 
 
+def id_arrays(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The ids of each row as a view of the column's buffer (none for NULL); a NULL among the ids is an error."""
+    values = column.values.to_numpy()
+    for (a, b), known in zip(pairwise(column.offsets.to_pylist()), column.is_valid().to_pylist(), strict=True):
+        yield values[a : b if known else a]
+
+
 def digests(df: DataFrame, ids: str, model: bytes, keep: list[str]) -> DataFrame:
     """``keep``, n_tokens, ids_sha256 (ids as little-endian uint32) and decoded_sha256 (of the library's decode of all ids)."""
     ship(df.sparkSession)
@@ -202,12 +222,10 @@ def digests(df: DataFrame, ids: str, model: bytes, keep: list[str]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
         for batch in id_slices(batches, "_ids"):
-            lists = batch.column("_ids").to_pylist()
             n, ids_hex, text_hex = [], [], []
-            for values in lists:
-                values = values or []
+            for values in id_arrays(batch.column("_ids")):
                 n.append(len(values))
-                ids_hex.append(hashlib.sha256(np.asarray(values, dtype="<u4").tobytes()).hexdigest())
+                ids_hex.append(hashlib.sha256(values.astype("<u4", copy=False)).hexdigest())
                 text_hex.append(hashlib.sha256(sp.decode(values).encode("utf-8")).hexdigest())
             columns = [batch.column(c) for c in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
